@@ -111,10 +111,15 @@ def alternation(
     """
     ahead = to_micros(reach)
     span = slice_micros(ahead, width)
-    rows = events.dropna(subset=keys).select(*keys, row.alias("row")).withColumn(
-        SLICE, floor_div(F.col("row.t"), span),
+    # The time stands in a column of its own, so that all windows share one sort.
+    rows = events.select(*keys, row.alias("row")).select(
+        "*", F.col("row.t").alias("_t"), floor_div(F.col("row.t"), span).alias(SLICE),
     )
-    within = Window.partitionBy(*keys, SLICE).orderBy("row.t", "row")
+    # The join below implies these filters for one of its sides only. Stated
+    # here, both sides stay the same plan and Spark shuffles the rows once.
+    for name in (*keys, SLICE):
+        rows = rows.filter(F.col(name).isNotNull())
+    within = Window.partitionBy(*keys, SLICE).orderBy("_t", "row")
     rows = rows.select(
         "*",
         F.lag("row").over(within).alias("before"),
@@ -131,7 +136,7 @@ def alternation(
     fixed_from_here = F.when(F.col("_reset") & ~head, True)
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.select(
-        *keys, SLICE, "row", "before", "after", "state",
+        *keys, SLICE, "_t", "row", "before", "after", "state",
         F.last(fixed_from_here, ignorenulls=True).over(so_far).isNull().alias("_open"),
     )
 
@@ -153,7 +158,7 @@ def _edges(rows: DataFrame, keys: list[str], rule: Rule, ahead: int, span: int)
     `_turn` is 1 where the state at the slice's start differs from the one
     assumed; `_tail_before` and `_head_after` are the rows next to the slice.
     """
-    offset = F.pmod(F.col("row.t"), F.lit(span))
+    offset = F.pmod(F.col("_t"), F.lit(span))
     is_head = F.col("before").isNull() & (offset <= ahead)
     is_tail = F.col("after").isNull() & (span - offset <= ahead)
     edge = F.struct("row", "state", "_open")
