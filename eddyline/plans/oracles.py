@@ -237,6 +237,18 @@ TX_MATCH_REPEATED = """
     FROM left_over
 """
 
+STREAM_TX_MATCH = """
+    WITH pays AS (SELECT event_id AS tx_id, ts, user_id FROM events WHERE event_type = 'purchase'),
+    receipts AS (SELECT event_id - 1 AS tx_id, ts, user_id FROM events WHERE event_type = 'click')
+    SELECT coalesce(p.tx_id, r.tx_id) AS tx_id,
+           CASE WHEN r.tx_id IS NULL THEN 'unmatchedPays'
+                WHEN p.tx_id IS NULL THEN 'unmatchedReceipts' ELSE 'matched' END AS tag,
+           p.ts AS pay_time, p.user_id AS pay_user, r.ts AS receipt_time, r.user_id AS receipt_user
+    FROM pays AS p FULL OUTER JOIN receipts AS r
+      ON p.tx_id = r.tx_id
+     AND p.ts - r.ts <= INTERVAL 5 MINUTE AND r.ts - p.ts <= INTERVAL 5 MINUTE
+"""
+
 SQL_VIEW = """
     SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, max(ts) AS last_ts
     FROM events WHERE value > 10 GROUP BY event_type
@@ -313,4 +325,14 @@ ORACLES = {
     "parse_login_log": PARSE_LOGIN_LOG,
     "parse_order_log": PARSE_ORDER_LOG,
     "parse_receipt_log": PARSE_RECEIPT_LOG,
+    # A stream over the whole table ends with the result of the bounded query.
+    "stream_sliding_count": _slides("user_id", "events", 3600, 300),
+    "stream_hot_items": HOT_ITEMS,
+    "stream_domain_traffic": DOMAIN_TRAFFIC,
+    "stream_login_fail": LOGIN_FAIL,
+    "stream_order_timeout_pattern": ORDER_TIMEOUT_PATTERN,
+    "stream_order_lifecycle": ORDER_LIFECYCLE_STRICT,
+    "stream_tx_match_repeated": TX_MATCH_REPEATED,
+    "stream_tx_match": STREAM_TX_MATCH,
+    "stream_login_success_view": LOGIN_SUCCESS_VIEW,
 }

@@ -49,11 +49,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, folder: str, name: str, schema: StructType,
-    max_files: int | None = None,
+    spark: SparkSession, path: str, schema: StructType, max_files: int | None = None,
 ) -> DataFrame:
-    """The same parquet table as a stream of its files."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """A parquet file or folder as a stream of the files in it.
+
+    A stream's source has to be a folder or a pattern, so the path is turned
+    into a pattern that only it matches.
+    """
+    path = path.rstrip("/")
+    pattern = f"{path[:-1]}[{path[-1]}]"
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.parquet(pattern)
