@@ -103,7 +103,7 @@ def stream_domain_traffic(events):
 def stream_login_fail(events):
     timed = watermark(events, "ts", "5 seconds")
     failed = is_type("error")
-    pairs = flows.strict_next(timed, ["user_id"], "ts", failed, failed, "6 hours", seq="event_id")
+    pairs = flows.strict_next(timed, ["user_id"], "ts", failed, failed, "6 hours", seq="event_id", width="5 days")
     return pairs.select(
         "user_id", F.col("first.ts").alias("first_fail_time"),
         F.col("second.ts").alias("last_fail_time"), F.lit(analyses.LOGIN_WARNING).alias("warning_msg"),
