@@ -13,19 +13,17 @@ def read_lines(spark: SparkSession, path: str | list[str], numbered: bool = Fals
     return with_position(lines) if numbered else lines
 
 
-def stream_lines(
-    spark: SparkSession, folder: str, max_files: int | None = None, numbered: bool = False,
-) -> DataFrame:
+def stream_lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """Files arriving in a folder as a stream of `value`.
 
     Any other line source (a message log, say) fits as well: the parsers only
-    need a string column `value`.
+    need a string column `value`. Spark cannot number a stream's lines; where
+    equal times must keep an order, the source has to bring one.
     """
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.text(folder)
-    return with_position(lines) if numbered else lines
+    return reader.text(folder)
 
 
 def with_position(lines: DataFrame) -> DataFrame:

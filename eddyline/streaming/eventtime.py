@@ -14,7 +14,8 @@ def watermark(
 
     A stream that appends reports each window once, complete, after both delays;
     one that updates reports early and again when late rows change a window.
-    Later rows are dropped and counted in the query's progress.
+    Later rows are dropped and counted in the query's progress. A stream's first
+    watermark is the epoch, so rows from 1970-01-01 00:00:00 or before count as late.
     """
     delay = to_micros(bound) + to_micros(lateness)
     return events.withWatermark(time, f"{delay} microseconds")

@@ -23,7 +23,7 @@ def random_events(seed, kinds, count=400, keys="abc", span=200, hot=0.5):
     rows = []
     for seq in range(count):
         key = keys[0] if pick.random() < hot else pick.choice(keys[1:])
-        rows.append((key, float(pick.randrange(span)), seq, pick.choice(kinds)))
+        rows.append((key, float(pick.randrange(1, span)), seq, pick.choice(kinds)))
     return rows
 
 
