@@ -19,9 +19,15 @@ _UNIT_MICROS = {
     "day": 86_400_000_000,
 }
 
-# The layouts the access log and the traffic log are written in.
-ACCESS_LOG_TIME = ("d/M/yyyy:H:m:s", "d/M/yy:H:m:s")
-TRAFFIC_LOG_TIME = ("yyyy-M-d H:m:s",)
+# The shapes a time has in the access log (day/month/year, of four
+# or two digits) and the traffic log, and how to rearrange each for a cast.
+ACCESS_LOG_TIME = {
+    r"^(\d{1,2})/(\d{1,2})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2})$": "$3-$2-$1 $4",
+    r"^(\d{1,2})/(\d{1,2})/(\d{2}):(\d{1,2}:\d{1,2}:\d{1,2})$": "20$3-$2-$1 $4",
+}
+TRAFFIC_LOG_TIME = {
+    r"^(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})$": "$1",
+}
 
 # Layouts of a window's end in the traffic report.
 LABEL_SECONDS = "yyyy-MM-dd HH:mm:ss"
@@ -57,9 +63,17 @@ def from_epoch_seconds(column: Column) -> Column:
     return F.timestamp_seconds(column)
 
 
-def parse_time(text: Column, layouts: tuple[str, ...]) -> Column:
-    """Text to event time by the first layout that fits; NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in layouts])
+def parse_time(text: Column, shapes: dict[str, str]) -> Column:
+    """Text to event time by the shape it has; NULL when it has none of them.
+
+    A cast reads many times more texts per second than a pattern-driven parser,
+    which also raises and swallows an exception for each text it cannot read.
+    """
+    time = F.lit(None).cast("timestamp")
+    for shape, arranged in shapes.items():
+        read = F.regexp_replace(text, shape, arranged).try_cast("timestamp")
+        time = F.when(text.rlike(shape), read).otherwise(time)
+    return time
 
 
 def time_label(time: Column, layout: str = LABEL_SECONDS) -> Column:

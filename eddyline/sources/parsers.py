@@ -8,6 +8,8 @@ expression, so the parsers serve batch and streams alike.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,75 +24,78 @@ from eddyline.functions.time import (
 MALFORMED = "malformed"
 RAW = "value"
 
+_MOST_FIELDS = 7
+
 
-def _record(lines: DataFrame, columns: dict[str, Column], required: list[str]) -> DataFrame:
+def _record(
+    lines: DataFrame, separator: str, read: Callable[[list[Column]], dict[str, Column]],
+    required: list[str] | None = None,
+) -> DataFrame:
+    """Split each line once, read the record's columns, and mark missing ones.
+
+    The columns come out of a generator of one row, past which Spark moves no
+    filter: a test on a parsed column does not parse the line a second time.
+    """
     kept = [name for name in lines.columns if name != RAW]
-    parsed = lines.select(RAW, *kept, *[column.alias(name) for name, column in columns.items()])
+    split = lines.select(RAW, *kept, fields(F.col(RAW), separator).alias("_parts"))
+    columns = read([field(F.col("_parts"), index) for index in range(_MOST_FIELDS)])
+    record = F.struct(*[column.alias(name) for name, column in columns.items()])
+    parsed = split.select(RAW, *kept, F.inline(F.array(record)))
     missing = F.lit(False)
-    for name in required:
+    for name in required or columns:
         missing = missing | F.col(name).isNull()
     return parsed.withColumn(MALFORMED, missing)
 
 
 def parse_behavior(lines: DataFrame) -> DataFrame:
     """user, item, category, behaviour, epoch seconds; fields are taken untrimmed."""
-    parts = fields(F.col(RAW), ",")
-    columns = {
-        "user_id": whole_number(field(parts, 0)),
-        "item_id": whole_number(field(parts, 1)),
-        "category_id": whole_number(field(parts, 2), "int"),
-        "behavior": field(parts, 3),
-        "event_time": from_epoch_seconds(whole_number(field(parts, 4))),
-    }
-    return _record(lines, columns, list(columns))
+    return _record(lines, ",", lambda part: {
+        "user_id": whole_number(part[0]),
+        "item_id": whole_number(part[1]),
+        "category_id": whole_number(part[2], "int"),
+        "behavior": part[3],
+        "event_time": from_epoch_seconds(whole_number(part[4])),
+    })
 
 
 def parse_login(lines: DataFrame) -> DataFrame:
     """user, ip, event type, epoch seconds; every field trimmed."""
-    parts = fields(F.col(RAW), ",")
-    columns = {
-        "user_id": whole_number(strip(field(parts, 0))),
-        "ip": strip(field(parts, 1)),
-        "event_type": strip(field(parts, 2)),
-        "event_time": from_epoch_seconds(whole_number(strip(field(parts, 3)))),
-    }
-    return _record(lines, columns, list(columns))
+    return _record(lines, ",", lambda part: {
+        "user_id": whole_number(strip(part[0])),
+        "ip": strip(part[1]),
+        "event_type": strip(part[2]),
+        "event_time": from_epoch_seconds(whole_number(strip(part[3]))),
+    })
 
 
 def parse_order(lines: DataFrame) -> DataFrame:
     """order, event type, transaction (may be empty), epoch seconds; every field trimmed."""
-    parts = fields(F.col(RAW), ",")
-    columns = {
-        "order_id": whole_number(strip(field(parts, 0))),
-        "event_type": strip(field(parts, 1)),
-        "tx_id": strip(field(parts, 2)),
-        "event_time": from_epoch_seconds(whole_number(strip(field(parts, 3)))),
-    }
-    return _record(lines, columns, list(columns))
+    return _record(lines, ",", lambda part: {
+        "order_id": whole_number(strip(part[0])),
+        "event_type": strip(part[1]),
+        "tx_id": strip(part[2]),
+        "event_time": from_epoch_seconds(whole_number(strip(part[3]))),
+    })
 
 
 def parse_receipt(lines: DataFrame) -> DataFrame:
     """transaction, channel, epoch seconds; the time is taken untrimmed."""
-    parts = fields(F.col(RAW), ",")
-    columns = {
-        "tx_id": strip(field(parts, 0)),
-        "pay_channel": strip(field(parts, 1)),
-        "event_time": from_epoch_seconds(whole_number(field(parts, 2))),
-    }
-    return _record(lines, columns, list(columns))
+    return _record(lines, ",", lambda part: {
+        "tx_id": strip(part[0]),
+        "pay_channel": strip(part[1]),
+        "event_time": from_epoch_seconds(whole_number(part[2])),
+    })
 
 
 def parse_access(lines: DataFrame) -> DataFrame:
     """Space-separated access log: fields 0 ip, 1 user, 3 time, 5 method, 6 url."""
-    parts = fields(F.col(RAW), " ")
-    columns = {
-        "ip": strip(field(parts, 0)),
-        "user_id": strip(field(parts, 1)),
-        "event_time": parse_time(strip(field(parts, 3)), ACCESS_LOG_TIME),
-        "method": strip(field(parts, 5)),
-        "url": strip(field(parts, 6)),
-    }
-    return _record(lines, columns, list(columns))
+    return _record(lines, " ", lambda part: {
+        "ip": strip(part[0]),
+        "user_id": strip(part[1]),
+        "event_time": parse_time(strip(part[3]), ACCESS_LOG_TIME),
+        "method": strip(part[5]),
+        "url": strip(part[6]),
+    })
 
 
 def parse_traffic(lines: DataFrame) -> DataFrame:
@@ -99,14 +104,12 @@ def parse_traffic(lines: DataFrame) -> DataFrame:
     A time that cannot be read is no malformed line: it leaves `event_time`
     NULL, for `drop_untimed` to remove.
     """
-    parts = fields(F.col(RAW), "\t")
-    columns = {
-        "event_time": parse_time(field(parts, 3), TRAFFIC_LOG_TIME),
-        "ip": field(parts, 4),
-        "domain": field(parts, 5),
-        "traffic": whole_number(field(parts, 6)),
-    }
-    return _record(lines, columns, ["ip", "domain", "traffic"])
+    return _record(lines, "\t", lambda part: {
+        "event_time": parse_time(part[3], TRAFFIC_LOG_TIME),
+        "ip": part[4],
+        "domain": part[5],
+        "traffic": whole_number(part[6]),
+    }, ["ip", "domain", "traffic"])
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
