@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,19 +84,21 @@ def _xor(*bits: Column) -> Column:
     return total
 
 
-def _run(frame: DataFrame, over, resets: str, start: str, flips: str, out: str) -> DataFrame:
+def _run(
+    frame: DataFrame, over, resets: str, start: str, flips: str, out: str, *others: Column,
+) -> DataFrame:
     """State after each row: the last reset's value, inverted once per flip since.
 
     At a reset the parity of all flips so far is folded into the value, so a
-    running sum and a running last are enough. A row whose `resets` is NULL
-    before any reset leaves the state NULL.
+    running sum and a running last are enough. `others` are further columns over
+    the same window, worked out in the same pass.
     """
     so_far = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parity = F.pmod(F.sum(flips).over(so_far), F.lit(2)).cast("int")
-    frame = frame.withColumn("_parity", parity)
+    frame = frame.select("*", parity.alias("_parity"), *others)
     base = F.when(F.col(resets), _xor(F.col(start), F.col("_parity")))
-    frame = frame.withColumn("_base", F.last(base, ignorenulls=True).over(so_far))
-    return frame.withColumn(out, _xor(F.col("_base"), F.col("_parity"))).drop("_parity", "_base")
+    state = _xor(F.last(base, ignorenulls=True).over(so_far), F.col("_parity"))
+    return frame.select("*", state.alias(out))
 
 
 def alternation(
@@ -117,10 +121,9 @@ def alternation(
     )
     # The join below implies these filters for one of its sides only. Stated
     # here, both sides stay the same plan and Spark shuffles the rows once.
-    for name in (*keys, SLICE):
-        rows = rows.filter(F.col(name).isNotNull())
+    present = reduce(and_, [F.col(name).isNotNull() for name in (*keys, SLICE)])
     within = Window.partitionBy(*keys, SLICE).orderBy("_t", "row")
-    rows = rows.select(
+    rows = rows.filter(present).select(
         "*",
         F.lag("row").over(within).alias("before"),
         F.lead("row").over(within).alias("after"),
@@ -132,12 +135,10 @@ def alternation(
         rule.start(F.col("row")).cast("int").alias("_start"),
         F.when(head, 0).otherwise(rule.flips(F.col("before"), F.col("row")).cast("int")).alias("_flip"),
     )
-    rows = _run(rows, within, "_reset", "_start", "_flip", "state")
-    fixed_from_here = F.when(F.col("_reset") & ~head, True)
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.select(
-        *keys, SLICE, "_t", "row", "before", "after", "state",
-        F.last(fixed_from_here, ignorenulls=True).over(so_far).isNull().alias("_open"),
+    fixed = F.last(F.when(F.col("_reset") & ~head, True), ignorenulls=True).over(so_far)
+    rows = _run(
+        rows, within, "_reset", "_start", "_flip", "state", fixed.isNull().alias("_open"),
     )
 
     edges = _edges(rows, keys, rule, ahead, span)
@@ -194,11 +195,10 @@ def _edges(rows: DataFrame, keys: list[str], rule: Rule, ahead: int, span: int)
     )
     summary = _run(summary, along, "_reset", "_start", "_flip", "_end")
     entering = F.lag("_end").over(along)
-    summary = summary.withColumn("_entering", entering)
     return summary.select(
         *keys, SLICE,
         F.when(
-            F.col("_passes"), _xor(F.col("_entering"), F.col("_enter"), F.col("head.state")),
+            F.col("_passes"), _xor(entering, F.col("_enter"), F.col("head.state")),
         ).otherwise(0).alias("_turn"),
         F.when(touching, before).alias("_tail_before"),
         F.when(reaching, F.col("following.row")).alias("_head_after"),
