@@ -6,23 +6,28 @@ Rows of equal time follow in the order of `seq`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.functions.time import Duration, micros, to_micros
-from eddyline.operators.slices import OWN, SLICE, with_halo
+from eddyline.operators.slices import following
 
 MATCHED = "matched"
 TIMEOUT = "timeout"
 
 
-def _narrow(
-    events: DataFrame, keys: list[str], time: str, seq: list[str], carry: list[str],
-    flags: dict[str, Column],
-) -> DataFrame:
-    names = list(dict.fromkeys([*keys, time, *seq, *carry]))
-    columns = [F.coalesce(flag, F.lit(False)).alias(name) for name, flag in flags.items()]
-    return events.filter(F.col(time).isNotNull()).select(*names, *columns)
+def _row(
+    time: str, seq: list[str], carry: list[str], first: Column, second: Column,
+) -> Column:
+    return F.struct(
+        micros(time).alias("t"), *[F.col(name).alias(f"_seq{place}") for place, name in enumerate(seq)],
+        first.alias("_first"), second.alias("_second"),
+        F.struct(time, *carry).alias("shown"),
+    )
+
+
+def _holds(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
 
 
 def strict_next(
@@ -35,20 +40,13 @@ def strict_next(
     the keys and the columns `time` and `carry` of both rows as the structs
     `first` and `second`.
     """
-    rows = _narrow(events, keys, time, list(seq), list(carry), {"_first": first, "_second": second})
-    rows = with_halo(rows, time, within, width)
-    order = Window.partitionBy(*keys, SLICE).orderBy(time, *seq)
-    kept = [time, *carry]
-    rows = rows.select(
-        *keys, OWN, "_first",
-        F.struct(*kept).alias("first"),
-        F.lead(F.struct(*kept, "_second")).over(order).alias("_next"),
-    )
-    span = micros(F.col("_next")[time]) - micros(F.col("first")[time])
-    return rows.filter(
-        F.col(OWN) & F.col("_first") & F.col("_next._second") & (span < to_micros(within)),
-    ).select(
-        *keys, "first", F.struct(*[F.col("_next")[name].alias(name) for name in kept]).alias("second"),
+    row = _row(time, list(seq), list(carry), _holds(first), _holds(second))
+    timed = events.filter(F.col(time).isNotNull())
+    rows = following(timed, keys, row, lambda step: F.lit(True), within, width)
+    span = F.col("following.t") - F.col("row.t")
+    matched = F.col("row._first") & F.col("following._second") & (span < to_micros(within))
+    return rows.filter(matched).select(
+        *keys, F.col("row.shown").alias("first"), F.col("following.shown").alias("second"),
     )
 
 
@@ -62,27 +60,14 @@ def followed_by(
     one row per `first`: keys, `tag` (matched or timeout) and both rows' columns
     `time` and `carry` as the structs `first` and `second` (NULL on a timeout).
     """
-    rows = _narrow(events, keys, time, list(seq), list(carry), {"_first": first, "_second": second})
-    rows = rows.filter(F.col("_first") | F.col("_second"))
-    rows = with_halo(rows, time, within, width, lend=F.col("_second"))
-    # Latest row first: what follows a row in time then lies in a growing frame,
-    # which Spark extends row by row.
-    backwards = (
-        Window.partitionBy(*keys, SLICE)
-        .orderBy(*[F.desc(name) for name in (time, *seq)])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    row = F.struct(time, *carry)
-    rows = rows.select(
-        *keys, OWN, "_first",
-        row.alias("first"),
-        F.last(F.when(F.col("_second"), row), ignorenulls=True).over(backwards).alias("_then"),
-    ).filter(F.col(OWN) & F.col("_first"))
-    span = micros(F.col("_then")[time]) - micros(F.col("first")[time])
-    in_time = F.coalesce(span < to_micros(within), F.lit(False))
-    return rows.select(
+    first, second = _holds(first), _holds(second)
+    row = _row(time, list(seq), list(carry), first, second)
+    relevant = events.filter(F.col(time).isNotNull() & (first | second))
+    rows = following(relevant, keys, row, lambda step: step["_second"], within, width)
+    in_time = _holds(F.col("following.t") - F.col("row.t") < to_micros(within))
+    return rows.filter("row._first").select(
         *keys,
         F.when(in_time, MATCHED).otherwise(TIMEOUT).alias("tag"),
-        "first",
-        F.when(in_time, F.col("_then")).alias("second"),
+        F.col("row.shown").alias("first"),
+        F.when(in_time, F.col("following.shown")).alias("second"),
     )

@@ -2,13 +2,16 @@
 
 Operators that look at a key's rows in order would normally need all of them in
 one window partition. Here the partition is (key, slice of time), and what one
-slice has to know of its neighbour travels separately:
-
-* `with_halo` for operators that look ahead by a bounded time: rows at the
-  start of a slice are also handed to the slice before. One shuffle.
-* `alternation` for operators whose state can pass on from row to row without
-  bound. Each slice is worked out as if nothing came before it; then the few
-  rows near the slices' edges, one or two per slice, correct the assumption.
+slice has to know of its neighbours travels separately:
+
+* `following` finds a row's successor within a time bound. Where slices are at
+  least as wide as the bound, the rows at a slice's start are also handed to the
+  slice before, in the one shuffle there is. Where the bound is so long that such
+  slices could themselves outgrow a task, narrower slices each report their first
+  row instead, and take the first of a later slice.
+* `alternation` is for state that can pass on from row to row without bound. Each
+  slice is worked out as if nothing came before it; then the few rows near the
+  slices' edges, one or two per slice, correct the assumption.
 """
 
 from __future__ import annotations
@@ -21,44 +24,91 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddyline.functions.time import Duration, floor_div, micros, to_micros
+from eddyline.functions.time import Duration, floor_div, to_micros
 
 SLICE = "_slice"
 OWN = "_own"
 
 _SHORTEST_SLICE = 60_000_000
+_LONGEST_SLICE = 3_600_000_000
 
 
 def slice_micros(reach: int, width: Duration | None) -> int:
-    """Width of a slice: twice the reach, at least a minute, unless given.
+    """Width of a slice: twice the reach, but a minute to an hour, unless given.
 
-    Wider slices hand over less between neighbours, narrower ones split a
-    dominating key more finely; the result is the same.
+    Wider slices pass less between neighbours, narrower ones split a dominating
+    key more finely; the result is the same.
     """
-    return to_micros(width) if width else max(2 * reach, _SHORTEST_SLICE)
+    if width:
+        return to_micros(width)
+    return min(max(2 * reach, _SHORTEST_SLICE), max(reach // 24, _LONGEST_SLICE))
 
 
 def with_halo(
-    events: DataFrame, time: str, reach: Duration, width: Duration | None = None,
-    lend: Column | None = None,
+    events: DataFrame, at: Column, reach: int, span: int, lend: Column | None = None,
 ) -> DataFrame:
     """Add `_slice` and `_own`; rows within `reach` of a slice's start come twice.
 
     The second copy belongs to the slice before and has `_own` false. `lend`
     restricts which rows are copied. Works on streams too.
     """
-    ahead = to_micros(reach)
-    span = slice_micros(ahead, width)
-    if span < ahead:
+    if span < reach:
         raise ValueError("a slice must be at least as wide as the reach")
-    at = micros(time)
     index = floor_div(at, span)
-    near = F.pmod(at, F.lit(span)) < ahead
+    near = F.pmod(at, F.lit(span)) < reach
     if lend is not None:
         near = near & lend
     copies = F.when(near, F.array(index, index - 1)).otherwise(F.array(index))
-    return events.select("*", F.explode(copies).alias(SLICE)).withColumn(
-        OWN, F.col(SLICE) == index,
+    return events.select("*", F.explode(copies).alias(SLICE)).withColumn(OWN, F.col(SLICE) == index)
+
+
+def _keyed(events: DataFrame, keys: list[str], row: Column) -> DataFrame:
+    """The keys, the row, and its time in a column of its own to sort by."""
+    present = reduce(and_, [F.col(name).isNotNull() for name in keys])
+    rows = events.filter(present).select(*keys, row.alias("row"))
+    return rows.select("*", F.col("row.t").alias("_t"))
+
+
+def _sliced(rows: DataFrame, span: int) -> DataFrame:
+    # Joining slices with what their neighbours report implies that the slice is
+    # there, for one side only. Stated for both, they stay the same plan and Spark
+    # shuffles the rows once.
+    sliced = rows.select("*", floor_div(F.col("_t"), span).alias(SLICE))
+    return sliced.filter(F.col(SLICE).isNotNull())
+
+
+def following(
+    events: DataFrame, keys: list[str], row: Column, candidate: Callable[[Column], Column],
+    reach: Duration, width: Duration | None = None,
+) -> DataFrame:
+    """Rows with the next row of their key for which `candidate` holds.
+
+    `row` is a struct whose first field `t` is the event time in microseconds
+    and whose leading fields order the rows of a key without ties. Returns the
+    keys, `row` and `following`, which is right up to `reach` and beyond it may
+    be a later row or NULL. Rows without a key are left out.
+    """
+    ahead = to_micros(reach)
+    span = slice_micros(ahead, width)
+    rows = _keyed(events, keys, row)
+    chosen = F.when(candidate(F.col("row")), F.col("row"))
+    # Latest row first: what follows a row in time then lies in a growing frame,
+    # which Spark extends row by row.
+    backwards = Window.partitionBy(*keys, SLICE).orderBy(F.desc("_t"), F.desc("row"))
+    earlier = backwards.rowsBetween(Window.unboundedPreceding, -1)
+    nearest = F.last(chosen, ignorenulls=True).over(earlier)
+    if span >= ahead:
+        copied = with_halo(rows, F.col("_t"), ahead, span, candidate(F.col("row")))
+        found = copied.select(*keys, "row", OWN, nearest.alias("following"))
+        return found.filter(OWN).select(*keys, "row", "following")
+
+    rows = _sliced(rows, span)
+    found = rows.select(*keys, SLICE, "row", nearest.alias("following"))
+    first = rows.groupBy(*keys, SLICE).agg(F.min(chosen).alias("first"))
+    along = Window.partitionBy(*keys).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    later = first.select(*keys, SLICE, F.last("first", ignorenulls=True).over(along).alias("_later"))
+    return found.join(later, [*keys, SLICE], "left").select(
+        *keys, "row", F.coalesce("following", "_later").alias("following"),
     )
 
 
@@ -115,15 +165,9 @@ def alternation(
     """
     ahead = to_micros(reach)
     span = slice_micros(ahead, width)
-    # The time stands in a column of its own, so that all windows share one sort.
-    rows = events.select(*keys, row.alias("row")).select(
-        "*", F.col("row.t").alias("_t"), floor_div(F.col("row.t"), span).alias(SLICE),
-    )
-    # The join below implies these filters for one of its sides only. Stated
-    # here, both sides stay the same plan and Spark shuffles the rows once.
-    present = reduce(and_, [F.col(name).isNotNull() for name in (*keys, SLICE)])
+    rows = _sliced(_keyed(events, keys, row), span)
     within = Window.partitionBy(*keys, SLICE).orderBy("_t", "row")
-    rows = rows.filter(present).select(
+    rows = rows.select(
         "*",
         F.lag("row").over(within).alias("before"),
         F.lead("row").over(within).alias("after"),

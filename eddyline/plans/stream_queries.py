@@ -9,33 +9,42 @@ themselves stay in state and never reach the result.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from datetime import timedelta
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from eddyline.operators import windows
+from eddyline.operators.reconcile import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
 from eddyline.plans import analyses
 from eddyline.plans.event_queries import Query, is_type, naive_times, with_cents
 from eddyline.session import prepare, scratch_path
 from eddyline.sources.lines import read_table, stream_table
 from eddyline.streaming import flows
 from eddyline.streaming.eventtime import ascending, watermark
-from eddyline.streaming.sinks import append_files, run_available, write_batches
+from eddyline.streaming.sinks import append_files, fan_out, run_available, write_batches
 
 STREAM_QUERIES: dict[str, Query] = {}
 
+MATCH_TAGS = (MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS)
+
 Writer = Callable[[DataFrame, str], DataStreamWriter]
 
 
 def _closing_rows(table: DataFrame) -> DataFrame:
     """One row of every event type, a year after the last event, of no real user."""
-    end = (F.max("ts") + F.expr("INTERVAL 365 DAYS")).alias("ts")
-    closing = table.groupBy("event_type").agg(F.max("event_id").alias("event_id"), F.lit(-1).alias("user_id"))
-    return closing.crossJoin(table.agg(end)).select(
+    end = table.agg(F.max("ts")).first()[0]
+    filled = {
+        "event_id": F.max("event_id"),
+        "ts": F.lit(end + timedelta(days=365)),
+        "user_id": F.lit(-1),
+    }
+    closing = table.groupBy("event_type").agg(*[column.alias(name) for name, column in filled.items()])
+    return closing.select(
         *[
-            (F.col(name) if name in ("event_id", "ts", "event_type", "user_id") else F.lit(None))
+            (F.col(name) if name in closing.columns else F.lit(None))
             .cast(table.schema[name].dataType).alias(name)
             for name in table.columns
         ]
@@ -52,7 +61,7 @@ def streamed(writer: Writer, reader: Callable[[SparkSession, str], DataFrame] |
             base = scratch_path(spark, build.__name__)
             table = read_table(spark, folder, "events")
             closing = f"{base}/closing"
-            _closing_rows(table).limit(0).write.parquet(closing)
+            spark.createDataFrame([], table.schema).write.parquet(closing)
 
             def start() -> None:
                 arriving = stream_table(spark, f"{folder}/events.parquet", table.schema).unionByName(
@@ -81,6 +90,17 @@ def _without_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch")
 
 
+def _fan_out_matches(outcomes: DataFrame, path: str) -> DataStreamWriter:
+    return fan_out(outcomes, {tag: write_batches(f"{path}/{tag}") for tag in MATCH_TAGS})
+
+
+def _matches_by_tag(spark: SparkSession, path: str) -> DataFrame:
+    outputs = [
+        _without_batch(spark, f"{path}/{tag}").withColumn("tag", F.lit(tag)) for tag in MATCH_TAGS
+    ]
+    return reduce(DataFrame.unionByName, outputs)
+
+
 @streamed(append_files)
 def stream_sliding_count(events):
     timed = watermark(events, "ts", "1 second", lateness="1 minute")
@@ -145,7 +165,7 @@ def stream_tx_match_repeated(events):
     )
 
 
-@streamed(lambda outcomes, path: append_files(outcomes, path, tag="tag"))
+@streamed(_fan_out_matches, _matches_by_tag)
 def stream_tx_match(events):
     """A click right after a purchase, by event number, counts as its receipt."""
     timed = ascending(events, "ts")

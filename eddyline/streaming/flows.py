@@ -90,10 +90,12 @@ def _pattern(
     second: Column, within: Duration, seq: str | None, carry: list[str], lend: Column | None,
     width: Duration | None,
 ) -> DataFrame:
-    sliced = with_halo(events, time, within, width, lend)
+    reach = to_micros(within)
+    span = to_micros(width) if width else max(2 * reach, to_micros("1 minute"))
+    sliced = with_halo(events, micros(time), reach, span, lend)
     kind = _flag(first, FIRST) + _flag(second, SECOND) + _flag(F.col(OWN_COLUMN), OWN)
     rows = _rows(sliced, [*keys, SLICE], time, seq, kind, carry)
-    return _processed(rows, [*keys, SLICE], processor([*keys, SLICE], to_micros(within)))
+    return _processed(rows, [*keys, SLICE], processor([*keys, SLICE], reach))
 
 
 def strict_next(
