@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.functions.time import Duration, micros, to_micros
+from eddyline.functions.time import Duration, from_micros, micros, to_micros
 from eddyline.operators.slices import following
 
 MATCHED = "matched"
@@ -21,8 +21,16 @@ def _row(
 ) -> Column:
     return F.struct(
         micros(time).alias("t"), *[F.col(name).alias(f"_seq{place}") for place, name in enumerate(seq)],
-        first.alias("_first"), second.alias("_second"),
-        F.struct(time, *carry).alias("shown"),
+        _holds(first).alias("_first"), _holds(second).alias("_second"),
+        *[F.col(name).alias(f"_carry{place}") for place, name in enumerate(carry)],
+    )
+
+
+def _shown(events: DataFrame, time: str, carry: list[str], row: str) -> Column:
+    """The columns of a row that the result shows."""
+    return F.struct(
+        from_micros(f"{row}.t").cast(events.schema[time].dataType).alias(time),
+        *[F.col(f"{row}._carry{place}").alias(name) for place, name in enumerate(carry)],
     )
 
 
@@ -40,13 +48,15 @@ def strict_next(
     the keys and the columns `time` and `carry` of both rows as the structs
     `first` and `second`.
     """
-    row = _row(time, list(seq), list(carry), _holds(first), _holds(second))
+    row = _row(time, list(seq), list(carry), first, second)
     timed = events.filter(F.col(time).isNotNull())
     rows = following(timed, keys, row, lambda step: F.lit(True), within, width)
     span = F.col("following.t") - F.col("row.t")
     matched = F.col("row._first") & F.col("following._second") & (span < to_micros(within))
     return rows.filter(matched).select(
-        *keys, F.col("row.shown").alias("first"), F.col("following.shown").alias("second"),
+        *keys,
+        _shown(events, time, carry, "row").alias("first"),
+        _shown(events, time, carry, "following").alias("second"),
     )
 
 
@@ -60,7 +70,6 @@ def followed_by(
     one row per `first`: keys, `tag` (matched or timeout) and both rows' columns
     `time` and `carry` as the structs `first` and `second` (NULL on a timeout).
     """
-    first, second = _holds(first), _holds(second)
     row = _row(time, list(seq), list(carry), first, second)
     relevant = events.filter(F.col(time).isNotNull() & (first | second))
     rows = following(relevant, keys, row, lambda step: step["_second"], within, width)
@@ -68,6 +77,6 @@ def followed_by(
     return rows.filter("row._first").select(
         *keys,
         F.when(in_time, MATCHED).otherwise(TIMEOUT).alias("tag"),
-        F.col("row.shown").alias("first"),
-        F.when(in_time, F.col("following.shown")).alias("second"),
+        _shown(events, time, carry, "row").alias("first"),
+        F.when(in_time, _shown(events, time, carry, "following")).alias("second"),
     )

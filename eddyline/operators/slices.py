@@ -69,12 +69,12 @@ def _keyed(events: DataFrame, keys: list[str], row: Column) -> DataFrame:
     return rows.select("*", F.col("row.t").alias("_t"))
 
 
-def _sliced(rows: DataFrame, span: int) -> DataFrame:
+def _sliced(rows: DataFrame, keys: list[str], span: int) -> DataFrame:
     # Joining slices with what their neighbours report implies that the slice is
     # there, for one side only. Stated for both, they stay the same plan and Spark
     # shuffles the rows once.
     sliced = rows.select("*", floor_div(F.col("_t"), span).alias(SLICE))
-    return sliced.filter(F.col(SLICE).isNotNull())
+    return sliced.filter(F.col(SLICE).isNotNull()).repartition(*keys, SLICE)
 
 
 def following(
@@ -95,18 +95,27 @@ def following(
     # Latest row first: what follows a row in time then lies in a growing frame,
     # which Spark extends row by row.
     backwards = Window.partitionBy(*keys, SLICE).orderBy(F.desc("_t"), F.desc("row"))
-    earlier = backwards.rowsBetween(Window.unboundedPreceding, -1)
-    nearest = F.last(chosen, ignorenulls=True).over(earlier)
+    nearest = F.last(chosen, ignorenulls=True).over(
+        backwards.rowsBetween(Window.unboundedPreceding, -1),
+    )
     if span >= ahead:
         copied = with_halo(rows, F.col("_t"), ahead, span, candidate(F.col("row")))
-        found = copied.select(*keys, "row", OWN, nearest.alias("following"))
+        # Shuffled before `chosen`, a second copy of the row, is worked out.
+        found = copied.repartition(*keys, SLICE).select(*keys, "row", OWN, nearest.alias("following"))
         return found.filter(OWN).select(*keys, "row", "following")
 
-    rows = _sliced(rows, span)
-    found = rows.select(*keys, SLICE, "row", nearest.alias("following"))
-    first = rows.groupBy(*keys, SLICE).agg(F.min(chosen).alias("first"))
+    first = F.last(chosen, ignorenulls=True).over(
+        backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+    )
+    found = _sliced(rows, keys, span).select(
+        *keys, SLICE, "row", nearest.alias("following"),
+        F.when(F.lead("_t").over(backwards).isNull(), F.struct(first.alias("first"))).alias("_slice_start"),
+    )
+    starts = found.filter(F.col("_slice_start").isNotNull())
     along = Window.partitionBy(*keys).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-    later = first.select(*keys, SLICE, F.last("first", ignorenulls=True).over(along).alias("_later"))
+    later = starts.select(
+        *keys, SLICE, F.last("_slice_start.first", ignorenulls=True).over(along).alias("_later"),
+    )
     return found.join(later, [*keys, SLICE], "left").select(
         *keys, "row", F.coalesce("following", "_later").alias("following"),
     )
@@ -165,7 +174,7 @@ def alternation(
     """
     ahead = to_micros(reach)
     span = slice_micros(ahead, width)
-    rows = _sliced(_keyed(events, keys, row), span)
+    rows = _sliced(_keyed(events, keys, row), keys, span)
     within = Window.partitionBy(*keys, SLICE).orderBy("_t", "row")
     rows = rows.select(
         "*",
