@@ -20,7 +20,7 @@ from eddyline.operators import windows
 from eddyline.operators.reconcile import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
 from eddyline.plans import analyses
 from eddyline.plans.event_queries import Query, is_type, naive_times, with_cents
-from eddyline.session import prepare, scratch_path
+from eddyline.session import prepare, scratch_path, shuffle_sized_for
 from eddyline.sources.lines import read_table, stream_table
 from eddyline.streaming import flows
 from eddyline.streaming.eventtime import ascending, watermark
@@ -68,7 +68,8 @@ def streamed(writer: Writer, reader: Callable[[SparkSession, str], DataFrame] |
                     stream_table(spark, closing, table.schema),
                 )
                 arriving = arriving.withColumn("ts", F.col("ts").cast("timestamp"))
-                run_available(writer(build(arriving), f"{base}/result"), f"{base}/checkpoint")
+                with shuffle_sized_for(table):
+                    run_available(writer(build(arriving), f"{base}/result"), f"{base}/checkpoint")
 
             start()
             _closing_rows(table).write.mode("append").parquet(closing)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eddyline.operators.ranking import top_n
 from eddyline.operators.relational import project, restrict
 from eddyline.operators.windows import window_count
-from eddyline.session import scratch_path
+from eddyline.session import scratch_path, shuffle_sized_for
 from eddyline.sources import parsers
 from eddyline.sources.lines import stream_lines
 from eddyline.streaming import flows
@@ -262,3 +262,17 @@ def test_lines_and_views_as_streams(spark, tmp_path):
 
 def test_checkpoints_lie_in_the_folder_the_session_names(spark):
     assert checkpoint_path(spark, "login").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_small_inputs_use_fewer_state_partitions(spark):
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "200")
+        with shuffle_sized_for(event_table(spark, [("a", 1.0, 0, "x")])):
+            assert spark.conf.get(name) == "8"
+        assert spark.conf.get(name) == "200"
+        with shuffle_sized_for(spark.range(10**9)):
+            assert spark.conf.get(name) == "200"
+    finally:
+        spark.conf.set(name, configured)
