@@ -50,7 +50,7 @@ def strict_next(
     """
     row = _row(time, list(seq), list(carry), first, second)
     timed = events.filter(F.col(time).isNotNull())
-    rows = following(timed, keys, row, lambda step: F.lit(True), within, width)
+    rows = following(timed, keys, row, within, width=width)
     span = F.col("following.t") - F.col("row.t")
     matched = F.col("row._first") & F.col("following._second") & (span < to_micros(within))
     return rows.filter(matched).select(
@@ -72,7 +72,7 @@ def followed_by(
     """
     row = _row(time, list(seq), list(carry), first, second)
     relevant = events.filter(F.col(time).isNotNull() & (first | second))
-    rows = following(relevant, keys, row, lambda step: step["_second"], within, width)
+    rows = following(relevant, keys, row, within, lambda step: step["_second"], width)
     in_time = _holds(F.col("following.t") - F.col("row.t") < to_micros(within))
     return rows.filter("row._first").select(
         *keys,

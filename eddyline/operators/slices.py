@@ -78,10 +78,10 @@ def _sliced(rows: DataFrame, keys: list[str], span: int) -> DataFrame:
 
 
 def following(
-    events: DataFrame, keys: list[str], row: Column, candidate: Callable[[Column], Column],
-    reach: Duration, width: Duration | None = None,
+    events: DataFrame, keys: list[str], row: Column, reach: Duration,
+    candidate: Callable[[Column], Column] | None = None, width: Duration | None = None,
 ) -> DataFrame:
-    """Rows with the next row of their key for which `candidate` holds.
+    """Rows with the next row of their key, or the next for which `candidate` holds.
 
     `row` is a struct whose first field `t` is the event time in microseconds
     and whose leading fields order the rows of a key without ties. Returns the
@@ -91,22 +91,24 @@ def following(
     ahead = to_micros(reach)
     span = slice_micros(ahead, width)
     rows = _keyed(events, keys, row)
-    chosen = F.when(candidate(F.col("row")), F.col("row"))
     # Latest row first: what follows a row in time then lies in a growing frame,
     # which Spark extends row by row.
     backwards = Window.partitionBy(*keys, SLICE).orderBy(F.desc("_t"), F.desc("row"))
-    nearest = F.last(chosen, ignorenulls=True).over(
-        backwards.rowsBetween(Window.unboundedPreceding, -1),
-    )
+    if candidate is None:
+        lend = None
+        nearest, first = F.lag("row").over(backwards), F.col("row")
+    else:
+        lend = candidate(F.col("row"))
+        chosen = F.when(lend, F.col("row"))
+        start = Window.unboundedPreceding
+        nearest = F.last(chosen, ignorenulls=True).over(backwards.rowsBetween(start, -1))
+        first = F.last(chosen, ignorenulls=True).over(backwards.rowsBetween(start, 0))
     if span >= ahead:
-        copied = with_halo(rows, F.col("_t"), ahead, span, candidate(F.col("row")))
+        copied = with_halo(rows, F.col("_t"), ahead, span, lend)
         # Shuffled before `chosen`, a second copy of the row, is worked out.
         found = copied.repartition(*keys, SLICE).select(*keys, "row", OWN, nearest.alias("following"))
         return found.filter(OWN).select(*keys, "row", "following")
 
-    first = F.last(chosen, ignorenulls=True).over(
-        backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow),
-    )
     found = _sliced(rows, keys, span).select(
         *keys, SLICE, "row", nearest.alias("following"),
         F.when(F.lead("_t").over(backwards).isNull(), F.struct(first.alias("first"))).alias("_slice_start"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from eddyline.plans import analyses, event_queries
 from tests.oracle import check, connect
 
 QUERIES = driver.queries()
@@ -52,8 +53,8 @@ def test_plans_stay_in_the_jvm_and_form_no_products(spark, data, name):
     "name, exchanges",
     [
         ("login_success_view", 0), ("parse_login_log", 0), ("filter_empty_key", 0),
-        ("domain_traffic", 1), ("tumbling_count", 1), ("login_fail", 1),
-        ("order_timeout_pattern", 1), ("order_lifecycle", 1), ("sliding_count", 2), ("hot_items", 3),
+        ("domain_traffic", 1), ("tumbling_count", 1), ("order_lifecycle", 1), ("sliding_count", 2),
+        ("hot_items", 3),
     ],
 )
 def test_number_of_shuffles(spark, data, name, exchanges):
@@ -62,6 +63,19 @@ def test_number_of_shuffles(spark, data, name, exchanges):
     assert text.count("Exchange") == exchanges
 
 
+def test_patterns_with_short_bounds_shuffle_once(spark, data):
+    events = event_queries.events(spark, data)
+    failed = event_queries.is_type("error")
+    pairs = analyses.login_fail(events, "2 seconds", time="ts", seq=("event_id",), fail=failed)
+    assert plan(pairs).count("Exchange") == 1
+    orders = analyses.order_timeout_pattern(
+        events, "15 minutes", ("user_id",), "ts", ("event_id",),
+        event_queries.is_type("signup"), event_queries.is_type("purchase"),
+    )
+    assert plan(orders).count("Exchange") == 1
+    assert "Or(EqualTo(event_type,signup),EqualTo(event_type,purchase))" in plan(orders)
+
+
 def test_scans_read_what_is_needed(spark, data):
     text = plan(QUERIES["login_success_view"](spark, data))
     assert "EqualTo(event_type,view)" in text
@@ -78,8 +92,9 @@ def test_rankings_are_cut_before_the_shuffle(spark, data):
     assert "row_number(), 5, Partial" in text and "row_number(), 5, Final" in text
 
 
-def test_the_scan_of_a_history_is_shuffled_once(spark, data):
-    frame = QUERIES["order_lifecycle_strict"](spark, data)
+@pytest.mark.parametrize("name", ["order_lifecycle_strict", "login_fail", "order_timeout_pattern"])
+def test_a_history_is_read_and_shuffled_once(spark, data, name):
+    frame = QUERIES[name](spark, data)
     frame.collect()
     final = plan(frame).split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1 and "ReusedExchange" in final

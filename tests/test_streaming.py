@@ -269,7 +269,7 @@ def test_small_inputs_use_fewer_state_partitions(spark):
     configured = spark.conf.get(name)
     try:
         spark.conf.set(name, "200")
-        with shuffle_sized_for(event_table(spark, [("a", 1.0, 0, "x")])):
+        with shuffle_sized_for(spark.range(10)):
             assert spark.conf.get(name) == "8"
         assert spark.conf.get(name) == "200"
         with shuffle_sized_for(spark.range(10**9)):
