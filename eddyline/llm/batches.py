@@ -68,8 +68,9 @@ def map_batches(
     Columns are Arrow arrays, numpy arrays or lists.
     """
 
+    schema = arrow_schema(kinds)
+
     def run(batches):
-        schema = arrow_schema(kinds)
         for batch in batches:
             for columns in work(batch, *arguments):
                 yield pa.RecordBatch.from_arrays(
@@ -112,3 +113,24 @@ def only(frame: DataFrame, **kinds: str) -> DataFrame:
         raise ValueError(f"no column {', '.join(missing)} among {frame.columns}")
     unique = frame.toDF(*[f"c{place}" for place in range(len(frame.columns))])
     return unique.select(*[F.col(f"c{named[name]}").cast(kind).alias(name) for name, kind in kinds.items()])
+
+
+def replaced(documents: DataFrame, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The documents with their `text` changed and `n_chars`, if there is one, following it.
+
+    `change` gets columns `row` (all columns, under unique names) and `text`, and returns both.
+    """
+    names = documents.columns
+    places = {name: place for place, name in reversed(list(enumerate(names)))}
+    unique = documents.toDF(*[f"c{place}" for place in range(len(names))])
+    text = f"c{places['text']}"
+    changed = change(unique.select(F.struct("*").alias("row"), F.col(text).alias("text")))
+    columns = {f"c{place}": F.col(f"row.c{place}") for place in range(len(names))}
+    columns[text] = F.col("text")
+    if "n_chars" in places:
+        count = f"c{places['n_chars']}"
+        columns[count] = (
+            F.when(F.col("text").eqNullSafe(F.col(f"row.{text}")), columns[count])
+            .otherwise(F.length("text").cast(unique.schema[count].dataType))
+        )
+    return changed.select(*[column.alias(name) for name, column in columns.items()]).toDF(*names)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eddyline.llm import bpe, urls
+from eddyline.llm import bpe, decontaminate, urls
 from eddyline.llm.batches import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op4_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, folder, "documents"), BYTE_BPE)
 
 
+@query
+def op5_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op6_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(table(spark, folder, "pages"), URL_RULES)
