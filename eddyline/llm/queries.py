@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eddyline.llm import bpe, decontaminate, urls
+from eddyline.llm import bpe, decontaminate, sharding, tokenfile, urls
 from eddyline.llm.batches import small_batches
+from eddyline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_path(spark, "tokens")
+    manifest = tokenfile.write_tokens(table(spark, folder, "documents"), WORD_BPE, target, end=1)
+    return tokenfile.read_digests(manifest, target, WORD_BPE)
+
+
 @query
 def op4_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, folder, "documents"), BYTE_BPE)
@@ -53,6 +61,11 @@ def op6_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+@query
+def op7_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, folder, "documents"))
+
+
 ORACLES["op6_url_cascade"] = """
 WITH parts AS (
     SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
