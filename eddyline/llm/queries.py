@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eddyline.llm import bpe, decontaminate, sharding, tokenfile, urls
+from eddyline.llm import bpe, decontaminate, knn, repeats, sharding, tokenfile, urls
 from eddyline.llm.batches import small_batches
 from eddyline.session import scratch_path
 
@@ -39,6 +40,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_voronoi_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return knn.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op1_voronoi_top_k"] = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id AS vec_id, list_dot_product(q.v, d.v)::BIGINT AS score
+    FROM vectors q JOIN vectors d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "tokens")
@@ -66,6 +87,11 @@ def op7_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+@query
+def op10_merged_transforms(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, folder, "documents"))
+
+
 ORACLES["op6_url_cascade"] = """
 WITH parts AS (
     SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest

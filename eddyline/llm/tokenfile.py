@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 
 from eddyline.llm.batches import arrow_schema, map_batches, only
 
-#: Distinct chunks of text a worker remembers before it starts anew.
+#: Distinct chunks of text, and distinct words, a worker remembers before it starts anew.
 REMEMBERED = 300_000
+REMEMBERED_WORDS = 800_000
 
 #: Pre-tokenizer pattern of word-level files that drop white space (fixed value).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -66,6 +67,7 @@ class Encoder:
             and first["behavior"] == "Removed" and first["invert"]
             and not any(token["lstrip"] or token["rstrip"] or " " in token["content"] for token in described["added_tokens"])
         )
+        self.model = self.library.model
         self._chunks: dict[bytes, bytes] = {}
         self._words: dict[bytes, bytes] = {}
 
@@ -75,9 +77,14 @@ class Encoder:
     def _word(self, word: bytes) -> bytes:
         ids = self._words.get(word)
         if ids is None:
-            if len(self._words) > REMEMBERED:
+            if len(self._words) > REMEMBERED_WORDS:
                 self._words.clear()
-            ids = self._words[word] = self._library(word.decode())
+            if word.isalpha() and word.islower() and word.isascii():
+                # Neither normalizer nor pre-tokenizer changes or cuts such a word.
+                ids = np.array([token.id for token in self.model.tokenize(word.decode())], self.kind).tobytes()
+            else:
+                ids = self._library(word.decode())
+            self._words[word] = ids
         return ids
 
     def _chunk(self, chunk: bytes) -> bytes:
