@@ -23,14 +23,9 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(ROWS_PER_BATCH, str(rows))
 
 
-def large_text(column: pa.Array) -> pa.Array:
-    """The column as 64-bit strings, null as empty."""
-    return pc.fill_null(column.cast(pa.large_string()), "")
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all rows one after the other, and the n + 1 row offsets; null is empty."""
-    column = large_text(column)
+    """Bytes of all rows one after the other, and the n + 1 row offsets; null is empty."""
+    column = pc.fill_null(column.cast(pa.binary()).cast(pa.large_binary()), b"")
     rows = len(column)
     if rows == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
