@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.llm import bpe, decontaminate, knn, repeats, sharding, tokenfile, urls
+from eddyline.llm import bpe, decontaminate, knn, quality, repeats, sharding, tokenfile, toxicity, urls
 from eddyline.llm.batches import small_batches
 from eddyline.session import scratch_path
 
@@ -67,6 +67,11 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfile.read_digests(manifest, target, WORD_BPE)
 
 
+@query
+def op3_levenshtein_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op4_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, folder, "documents"), BYTE_BPE)
@@ -87,6 +92,11 @@ def op7_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+@query
+def op9_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op10_merged_transforms(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeat_digests(table(spark, folder, "documents"))
