@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.llm import bpe, decontaminate, knn, quality, repeats, sharding, tokenfile, toxicity, urls
+from eddyline.llm import bpe, decontaminate, knn, neardup, quality, repeats, sharding, tokenfile, toxicity, urls
 from eddyline.llm.batches import small_batches
 from eddyline.session import scratch_path
 
@@ -92,6 +92,12 @@ def op7_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+@query
+def op8_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    classes = neardup.duplicate_classes(table(spark, folder, "documents"))
+    return classes.select("doc_id", "class_id", "class_size")
+
+
 @query
 def op9_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
