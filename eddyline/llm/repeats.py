@@ -292,12 +292,14 @@ def _hot_ranges(hot: DataFrame) -> DataFrame:
     whole = hot.join(equal, "digest", "left_semi").select(
         "h", "g", (F.col("at") - F.col("back")).alias("first"), (F.col("at") - F.col("fore")).alias("last"),
     )
-    suffixes = map_batches(
-        hot.filter("piece IS NOT NULL").select("h", "g", "at", "back", "fore", "weight", "piece"),
-        "a long, b long, h long, g long, place long, weight int", _suffixes,
-    )
-    twice = suffixes.groupBy("a", "b").agg(F.sum("weight").alias("times")).filter("times > 1").select("a", "b")
-    single = suffixes.join(twice, ["a", "b"], "left_semi").select(
+
+    def suffixes(pieces: DataFrame) -> DataFrame:
+        told = pieces.filter("piece IS NOT NULL").select("h", "g", "at", "back", "fore", "weight", "piece")
+        return map_batches(told, "a long, b long, h long, g long, place long, weight int", _suffixes)
+
+    # Every piece counts; only pieces that are not repeated as wholes ask for their suffixes.
+    twice = suffixes(hot).groupBy("a", "b").agg(F.sum("weight").alias("times")).filter("times > 1").select("a", "b")
+    single = suffixes(hot.join(equal, "digest", "left_anti")).join(twice, ["a", "b"], "left_semi").select(
         "h", "g", F.col("place").alias("first"), F.col("place").alias("last"),
     )
     return whole.unionByName(single)
