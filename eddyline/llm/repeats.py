@@ -45,6 +45,9 @@ MOST_ANCHORS = 256
 #: Symbols of a suffix that are compared one after the other.
 SYMBOLS = 8
 
+#: Tasks over which the runs of one anchor are dealt when its count is joined back.
+SALTS = 32
+
 _SEGMENT = 1 << 22
 _MERGE_BYTES = 1 << 20
 _LOW = np.uint64((1 << 24) - 1)
@@ -286,20 +289,41 @@ def _suffixes(batch: pa.RecordBatch) -> Iterator[list]:
     yield [values[:, 0], values[:, 1], h, g, spread(starts, counts), weight]
 
 
+def _salted(frame: DataFrame, *columns: str) -> DataFrame:
+    """The frame with a `salt`, by which `_repeated` deals the rows of one key over many tasks."""
+    return frame.withColumn("salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int"))
+
+
+def _repeated(salted: DataFrame, keys: list[str], count: Column) -> DataFrame:
+    """The keys that come more than once and their `times`, one row per `salt` their rows have.
+
+    Counting, combined before the shuffle, notes the salts in a bit mask. Joined back by key and
+    salt, the rows of a hot key meet their count in many tasks.
+    """
+    counted = salted.groupBy(*keys).agg(
+        count.alias("times"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"),
+    ).filter("times > 1")
+    present = F.expr(f"filter(sequence(0, {SALTS - 1}), each -> (mask & shiftleft(1L, each)) != 0)")
+    return counted.select(*keys, "times", F.explode(present).alias("salt"))
+
+
 def _hot_ranges(hot: DataFrame) -> DataFrame:
     """Ranges of repeated suffixes in hot buckets, by counts that are joined back."""
-    equal = hot.groupBy("digest").agg(F.sum("weight").alias("times")).filter("times > 1").select("digest")
-    whole = hot.join(equal, "digest", "left_semi").select(
+    hot = _salted(hot, "h", "g", "at")
+    equal = _repeated(hot, ["digest"], F.sum("weight")).select("digest", "salt")
+    whole = hot.join(equal, ["digest", "salt"], "left_semi").select(
         "h", "g", (F.col("at") - F.col("back")).alias("first"), (F.col("at") - F.col("fore")).alias("last"),
     )
 
     def suffixes(pieces: DataFrame) -> DataFrame:
         told = pieces.filter("piece IS NOT NULL").select("h", "g", "at", "back", "fore", "weight", "piece")
-        return map_batches(told, "a long, b long, h long, g long, place long, weight int", _suffixes)
+        rows = map_batches(told, "a long, b long, h long, g long, place long, weight int", _suffixes)
+        return _salted(rows, "h", "g", "place")
 
     # Every piece counts; only pieces that are not repeated as wholes ask for their suffixes.
-    twice = suffixes(hot).groupBy("a", "b").agg(F.sum("weight").alias("times")).filter("times > 1").select("a", "b")
-    single = suffixes(hot.join(equal, "digest", "left_anti")).join(twice, ["a", "b"], "left_semi").select(
+    twice = _repeated(suffixes(hot), ["a", "b"], F.sum("weight")).select("a", "b", "salt")
+    alone = hot.join(equal, ["digest", "salt"], "left_anti")
+    single = suffixes(alone).join(twice, ["a", "b", "salt"], "left_semi").select(
         "h", "g", F.col("place").alias("first"), F.col("place").alias("last"),
     )
     return whole.unionByName(single)
@@ -334,8 +358,11 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, mos
     keyed = texts.select("text", *text_keys(F.col("text"))).filter(F.octet_length("text") >= length)
     copies = keyed.groupBy(*TEXT_KEYS).agg(F.count(F.lit(1)).alias("copies"), F.max(F.octet_length("text")).alias("size"))
     found = map_batches(keyed, "key long, h long, g long, place long", _anchors, length, gram)
-    counted = found.groupBy("key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    repeated = found.join(counted.select("key", (F.col("times") > most_anchors).alias("hot")), "key")
+    runs = _salted(found, "h", "place")
+    counted = _repeated(runs, ["key"], F.count(F.lit(1)))
+    repeated = runs.join(
+        counted.select("key", "salt", (F.col("times") > most_anchors).alias("hot")), ["key", "salt"],
+    ).drop("salt")
     marks = repeated.groupBy(*TEXT_KEYS).agg(F.collect_set(F.struct("key", "place", "hot")).alias("marks"))
     marked = _with_texts(keyed).join(marks.join(copies.drop("size"), list(TEXT_KEYS)), list(TEXT_KEYS))
     marked.select("h", "g", "copies", "marks", "packed").mapInArrow(_cutter(length), _PIECES).write.parquet(f"{folder}/pieces")
