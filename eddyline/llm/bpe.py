@@ -131,6 +131,8 @@ class Automaton:
     def encode_word(self, word: bytes) -> list[int]:
         """Token ids of one pre-split word."""
         size = len(word)
+        if len(self._known) > REMEMBERED:
+            self._known.clear()
         step, ends, behind, allows, known = self.trie.get, self.ends, self._behind, self.allows, self._known.get
         reached: list[int] = [-1] * (size + 1)  # token of the path that ends here
         for place in range(size):
@@ -161,10 +163,14 @@ class Automaton:
         return ids[::-1]
 
 
-class ByteLevelCodec:
-    """A byte-level BPE file: pre-splitting, added tokens, encoding and decoding of texts."""
+class ByteLevelLabels:
+    """What decoding needs of a byte-level BPE file: the byte labels of its tokens."""
 
     def __init__(self, path: str):
+        self._read(path)
+
+    def _read(self, path: str) -> tuple[dict[bytes, int], list[tuple[bytes, bytes]]]:
+        """Set the labels; return vocabulary and merges."""
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         split = described["pre_tokenizer"]
@@ -178,9 +184,8 @@ class ByteLevelCodec:
         model = described["model"]
         vocabulary = {spelled(token): number for token, number in model["vocab"].items() if set(token) <= letters.keys()}
         pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
-        self.automaton = Automaton(vocabulary, [(spelled(a), spelled(b)) for a, b in pairs])
         self.added = {token["content"]: token["id"] for token in described["added_tokens"]}
-        labels = dict(self.automaton.labels)
+        labels = {number: label for label, number in vocabulary.items()}
         labels.update({number: content.encode() for content, number in self.added.items()})
         self.size = max(labels) + 1
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
@@ -189,6 +194,19 @@ class ByteLevelCodec:
             lengths[number + 1] = len(label)
         self.label_starts = np.cumsum(lengths)
         self.label_bytes = np.frombuffer(b"".join(labels.get(number, b"") for number in range(self.size)), np.uint8)
+        return vocabulary, [(spelled(a), spelled(b)) for a, b in pairs]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The labels of the ids, one after the other."""
+        starts = self.label_starts[ids]
+        return self.label_bytes[spread(starts, self.label_starts[ids.astype(np.int64) + 1] - starts)].tobytes()
+
+
+class ByteLevelCodec(ByteLevelLabels):
+    """A byte-level BPE file: pre-splitting, added tokens, encoding and decoding of texts."""
+
+    def __init__(self, path: str):
+        self.automaton = Automaton(*self._read(path))
         self._added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self._words = regex.compile(WORDS)
         self._word_ids: dict[str, bytes] = {}
@@ -199,12 +217,14 @@ class ByteLevelCodec:
         """Ids of a piece of text without added tokens, as array bytes and as decimals."""
         if len(self._word_ids) > REMEMBERED:
             self._word_ids.clear()
+        words = self._words.findall(text)
         parts = []
-        for word in self._words.findall(text):
+        for word in words:
             ids = self._word_ids.get(word)
             if ids is None:
                 ids = np.array(self.automaton.encode_word(word.encode()), self.kind).tobytes()
-                self._word_ids[word] = ids
+                if len(words) > 1:  # a piece of one word is remembered as a piece
+                    self._word_ids[word] = ids
             parts.append(ids)
         packed = b"".join(parts)
         return packed, ",".join(map(str, np.frombuffer(packed, self.kind).tolist()))
@@ -250,11 +270,6 @@ class ByteLevelCodec:
         ids = np.frombuffer(b"".join([part[0] for part in parts]), self.kind)
         return ids, ",".join([part[1] for part in parts if part[1]])
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The labels of the ids, one after the other."""
-        starts = self.label_starts[ids]
-        return self.label_bytes[spread(starts, self.label_starts[ids.astype(np.int64) + 1] - starts)].tobytes()
-
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> ByteLevelCodec:
@@ -262,6 +277,12 @@ def codec(path: str) -> ByteLevelCodec:
     return ByteLevelCodec(path)
 
 
+@lru_cache(maxsize=2)
+def token_labels(path: str) -> ByteLevelLabels:
+    """The labels alone: workers that only decode hold no automaton."""
+    return ByteLevelLabels(path)
+
+
 def _encoded(batch: pa.RecordBatch, path: str) -> Iterator[list]:
     coder = codec(path)
     texts = batch.column("text").to_pylist()
@@ -285,7 +306,7 @@ def encode_documents(documents: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def _decoded(batch: pa.RecordBatch, path: str) -> Iterator[list]:
-    coder = codec(path)
+    coder = token_labels(path)
     texts = [coder.decode(np.frombuffer(ids or b"", "<u4")).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
     yield [*[batch.column(name) for name in batch.schema.names if name != "ids"], texts]
 
