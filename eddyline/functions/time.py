@@ -21,7 +21,7 @@ _UNIT_MICROS = {
 
 # The shapes a time has in the access log (day/month/year, of four
 # or two digits) and the traffic log, and how to rearrange each for a cast.
-ACCESS_LOG_TIME = {
+_ACCESS_LOG_TIME = {
     r"^(\d{1,2})/(\d{1,2})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2})$": "$3-$2-$1 $4",
     r"^(\d{1,2})/(\d{1,2})/(\d{2}):(\d{1,2}:\d{1,2}:\d{1,2})$": "20$3-$2-$1 $4",
 }
@@ -34,6 +34,15 @@ LABEL_SECONDS = "yyyy-MM-dd HH:mm:ss"
 LABEL_MINUTES = "yyyy-MM-dd HH:mm"
 
 
+def access_log_time(pivot: int = 69) -> dict[str, str]:
+    """Shapes of an access log's time; years of two digits from `pivot` on are 19xx, others 20xx."""
+    shapes = dict(_ACCESS_LOG_TIME)
+    if pivot < 100:
+        years = "|".join(f"{year:02d}" for year in range(pivot, 100))
+        shapes[rf"^(\d{{1,2}})/(\d{{1,2}})/({years}):(\d{{1,2}}:\d{{1,2}}:\d{{1,2}})$"] = "19$3-$2-$1 $4"
+    return shapes
+
+
 def to_micros(duration: Duration) -> int:
     """`'15 minutes'` or a timedelta as whole microseconds."""
     if isinstance(duration, timedelta):

@@ -34,8 +34,12 @@ def lifecycle_summary(
 ) -> DataFrame:
     """One row per key from its first creation and its first payment.
 
-    A single aggregation with two minima, combined before the shuffle.
+    A single aggregation with two minima, combined before the shuffle. Rows
+    without a time or a key are left out.
     """
+    events = events.filter(F.col(time).isNotNull())
+    for name in keys:
+        events = events.filter(F.col(name).isNotNull())
     firsts = (
         events.filter(created | paid)
         .groupBy(*keys)
@@ -58,7 +62,7 @@ def lifecycle_summary(
 
 def lifecycle_strict(
     events: DataFrame, keys: list[str], time: str, created: Column, paid: Column,
-    within: Duration, seq: list[str] = (), width: Duration | None = None,
+    within: Duration, seq: list[str], width: Duration | None = None,
 ) -> DataFrame:
     """Every outcome in the order events and deadlines happen.
 

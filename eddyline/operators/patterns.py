@@ -1,7 +1,7 @@
 """Sequences of two events of one key within a time bound.
 
 The bound is exclusive: a span equal to it is too long. Matches may overlap.
-Rows of equal time follow in the order of `seq`.
+Rows of equal time follow in the order of `seq`, which must tell them apart.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def _holds(condition: Column) -> Column:
 
 def strict_next(
     events: DataFrame, keys: list[str], time: str, first: Column, second: Column,
-    within: Duration, seq: list[str] = (), carry: list[str] = (), width: Duration | None = None,
+    within: Duration, seq: list[str], carry: list[str] = (), width: Duration | None = None,
 ) -> DataFrame:
     """Pairs of rows that follow each other directly, `first` then `second`.
 
@@ -62,7 +62,7 @@ def strict_next(
 
 def followed_by(
     events: DataFrame, keys: list[str], time: str, first: Column, second: Column,
-    within: Duration, seq: list[str] = (), carry: list[str] = (), width: Duration | None = None,
+    within: Duration, seq: list[str], carry: list[str] = (), width: Duration | None = None,
 ) -> DataFrame:
     """Each `first` row with the earliest later `second` row of its key, or without one.
 

@@ -35,7 +35,7 @@ def _absent(events: DataFrame, columns: list[str]) -> Column:
 
 def match(
     left: DataFrame, right: DataFrame, keys: list[str], time: str, within: Duration,
-    left_columns: list[str], right_columns: list[str], seq: list[str] = (),
+    left_columns: list[str], right_columns: list[str], seq: list[str],
     width: Duration | None = None, keep_replaced: bool = False,
     tags: tuple[str, str] = (UNMATCHED_PAYS, UNMATCHED_RECEIPTS),
 ) -> DataFrame:

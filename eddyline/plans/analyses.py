@@ -1,7 +1,8 @@
 """The eight analyses, composed from the operators, for bounded input.
 
 Column names, time bounds and event types are parameters; the defaults fit the
-records the parsers give. `seq` names columns that order rows of equal time.
+records the parsers give. `seq` names columns that order rows of equal time: by default the
+position that numbered reading adds (`read_lines`).
 """
 
 from __future__ import annotations
@@ -53,11 +54,12 @@ def domain_traffic(
 
 def login_fail(
     logins: DataFrame, within: Duration = "2 seconds", keys: tuple[str, ...] = ("user_id",),
-    time: str = "event_time", seq: tuple[str, ...] = (), fail: Column | None = None,
+    time: str = "event_time", seq: tuple[str, ...] = ("seq",), fail: Column | None = None,
+    width: Duration | None = None,
 ) -> DataFrame:
     """Two failed logins in a row within the bound."""
     failed = F.col("event_type") == "fail" if fail is None else fail
-    pairs = patterns.strict_next(logins, list(keys), time, failed, failed, within, list(seq))
+    pairs = patterns.strict_next(logins, list(keys), time, failed, failed, within, list(seq), width=width)
     return pairs.select(
         *keys,
         F.col("first")[time].alias("first_fail_time"),
@@ -68,13 +70,13 @@ def login_fail(
 
 def order_timeout_pattern(
     orders: DataFrame, within: Duration = "15 minutes", keys: tuple[str, ...] = ("order_id",),
-    time: str = "event_time", seq: tuple[str, ...] = (), create: Column | None = None,
-    pay: Column | None = None,
+    time: str = "event_time", seq: tuple[str, ...] = ("seq",), create: Column | None = None,
+    pay: Column | None = None, width: Duration | None = None,
 ) -> DataFrame:
     """Every creation with the payment that follows it, or as timed out."""
     created = F.col("event_type") == "create" if create is None else create
     paid = F.col("event_type") == "pay" if pay is None else pay
-    found = patterns.followed_by(orders, list(keys), time, created, paid, within, list(seq))
+    found = patterns.followed_by(orders, list(keys), time, created, paid, within, list(seq), width=width)
     begin = F.col("first")[time]
     return found.select(
         *keys, "tag",
@@ -93,8 +95,8 @@ def order_pattern_message(tag: Column, created_at: Column) -> Column:
 
 def order_lifecycle(
     orders: DataFrame, within: Duration = "15 minutes", keys: tuple[str, ...] = ("order_id",),
-    time: str = "event_time", seq: tuple[str, ...] = (), create: Column | None = None,
-    pay: Column | None = None, mode: str = "summary",
+    time: str = "event_time", seq: tuple[str, ...] = ("seq",), create: Column | None = None,
+    pay: Column | None = None, mode: str = "summary", width: Duration | None = None,
 ) -> DataFrame:
     """How each order ended; `strict` gives every outcome as it happens."""
     created = F.col("event_type") == "create" if create is None else create
@@ -102,20 +104,20 @@ def order_lifecycle(
     if mode == "summary":
         return lifecycle_summary(orders, list(keys), time, created, paid, within)
     if mode == "strict":
-        return lifecycle_strict(orders, list(keys), time, created, paid, within, list(seq))
+        return lifecycle_strict(orders, list(keys), time, created, paid, within, list(seq), width)
     raise ValueError(f"unknown mode {mode!r}")
 
 
 def tx_match(
     pays: DataFrame, receipts: DataFrame, within: Duration = "5 seconds",
-    keys: tuple[str, ...] = ("tx_id",), time: str = "event_time", seq: tuple[str, ...] = (),
+    keys: tuple[str, ...] = ("tx_id",), time: str = "event_time", seq: tuple[str, ...] = ("seq",),
     pay_columns: tuple[str, ...] = ("order_id",), receipt_columns: tuple[str, ...] = ("pay_channel",),
-    keep_replaced: bool = False,
+    keep_replaced: bool = False, width: Duration | None = None,
 ) -> DataFrame:
     """Payments matched with receipts; both sides' leftovers are tagged."""
     found = reconcile.match(
         pays, receipts, list(keys), time, within, [time, *pay_columns], [time, *receipt_columns],
-        list(seq), keep_replaced=keep_replaced,
+        list(seq), width, keep_replaced,
     )
     return found.select(
         *keys, "tag",

@@ -66,16 +66,6 @@ def with_day(frame: DataFrame) -> DataFrame:
     return frame.withColumn("day", F.date_trunc("day", "ts"))
 
 
-def daily_first(frame: DataFrame, kind: str) -> DataFrame:
-    """The first event of one type per user and day."""
-    first = F.min(F.struct("ts", "event_id")).alias("first")
-    return (
-        with_day(frame.filter(is_type(kind)))
-        .groupBy("user_id", "day").agg(first)
-        .select("user_id", "day", "first.*")
-    )
-
-
 # Windows and rankings
 
 
@@ -199,41 +189,37 @@ def order_lifecycle_coarse(spark, folder):
 # Reconciliation
 
 
-def _daily_match(spark, folder):
+def _match(spark, folder, within, **options):
+    """All purchases and clicks of a user; keys occur many times on both sides."""
     table = events(spark, folder)
     return analyses.tx_match(
-        daily_first(table, "purchase"), daily_first(table, "click"), "2 hours",
-        keys=("user_id", "day"), time="ts", seq=("event_id",),
-        pay_columns=("event_id",), receipt_columns=("event_id",),
+        table.filter(is_type("purchase")), table.filter(is_type("click")), within,
+        keys=("user_id",), time="ts", seq=("event_id",),
+        pay_columns=("event_id",), receipt_columns=("event_id",), **options,
     )
 
 
 @registered
 def tx_match(spark, folder):
-    return _daily_match(spark, folder)
+    return _match(spark, folder, "2 hours")
 
 
 @registered
 def tx_unmatched_pays(spark, folder):
-    unmatched = _daily_match(spark, folder).filter(F.col("tag") == reconcile.UNMATCHED_PAYS)
-    return unmatched.select("user_id", "day", "pay_time", "pay_event_id")
+    unmatched = _match(spark, folder, "2 hours").filter(F.col("tag") == reconcile.UNMATCHED_PAYS)
+    return unmatched.select("user_id", "pay_time", "pay_event_id")
 
 
 @registered
 def tx_unmatched_receipts(spark, folder):
-    unmatched = _daily_match(spark, folder).filter(F.col("tag") == reconcile.UNMATCHED_RECEIPTS)
-    return unmatched.select("user_id", "day", "receipt_time", "receipt_event_id")
+    unmatched = _match(spark, folder, "2 hours").filter(F.col("tag") == reconcile.UNMATCHED_RECEIPTS)
+    return unmatched.select("user_id", "receipt_time", "receipt_event_id")
 
 
 @registered
 def tx_match_repeated(spark, folder):
-    """Keys that occur many times on both sides."""
-    table = events(spark, folder)
-    return analyses.tx_match(
-        table.filter(is_type("purchase")), table.filter(is_type("click")), "12 hours",
-        keys=("user_id",), time="ts", seq=("event_id",),
-        pay_columns=("event_id",), receipt_columns=("event_id",), keep_replaced=True,
-    )
+    """A longer bound, and the rows that a later one of their side replaces."""
+    return _match(spark, folder, "12 hours", keep_replaced=True)
 
 
 # Relational

@@ -175,31 +175,9 @@ _HOURLY = """(SELECT event_id, event_type, user_id % 10 AS bucket,
 ORDER_LIFECYCLE_STRICT = _walked("user_id", "events", "INTERVAL 24 HOUR")
 ORDER_LIFECYCLE_COARSE = _walked("bucket", _HOURLY, "INTERVAL 2 HOUR")
 
-TX_MATCH = """
-    WITH daily AS (
-        SELECT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_type,
-               min(ts) AS ts, arg_min(event_id, (ts, event_id)) AS event_id
-        FROM events WHERE event_type IN ('purchase', 'click') GROUP BY 1, 2, 3
-    ), pays AS (SELECT * FROM daily WHERE event_type = 'purchase'),
-    receipts AS (SELECT * FROM daily WHERE event_type = 'click')
-    SELECT coalesce(p.user_id, r.user_id) AS user_id, coalesce(p.day, r.day) AS day,
-           CASE WHEN r.user_id IS NULL THEN 'unmatchedPays'
-                WHEN p.user_id IS NULL THEN 'unmatchedReceipts' ELSE 'matched' END AS tag,
-           p.ts AS pay_time, p.event_id AS pay_event_id,
-           r.ts AS receipt_time, r.event_id AS receipt_event_id
-    FROM pays AS p FULL OUTER JOIN receipts AS r
-      ON p.user_id = r.user_id AND p.day = r.day
-     AND p.ts - r.ts <= INTERVAL 2 HOUR AND r.ts - p.ts <= INTERVAL 2 HOUR
-"""
-TX_UNMATCHED_PAYS = f"""
-    SELECT user_id, day, pay_time, pay_event_id FROM ({TX_MATCH}) AS m WHERE tag = 'unmatchedPays'
-"""
-TX_UNMATCHED_RECEIPTS = f"""
-    SELECT user_id, day, receipt_time, receipt_event_id
-    FROM ({TX_MATCH}) AS m WHERE tag = 'unmatchedReceipts'
-"""
-
-TX_MATCH_REPEATED = """
+def _matched(within: str) -> str:
+    """One row of a key per recursion step; a row that waits is taken, replaced or left over."""
+    return f"""
     WITH RECURSIVE steps AS (
         SELECT user_id, ts, event_id, event_type = 'click' AS receipt,
                row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type = 'click', event_id) AS n
@@ -210,12 +188,12 @@ TX_MATCH_REPEATED = """
         FROM steps WHERE n = 1
         UNION ALL
         SELECT s.user_id, s.n, s.ts, s.event_id, s.receipt,
-               NOT (w.waits AND w.receipt <> s.receipt AND s.ts - w.ts <= INTERVAL 12 HOUR),
-               CASE WHEN w.waits AND w.receipt <> s.receipt AND s.ts - w.ts <= INTERVAL 12 HOUR
+               NOT (w.waits AND w.receipt <> s.receipt AND s.ts - w.ts <= {within}),
+               CASE WHEN w.waits AND w.receipt <> s.receipt AND s.ts - w.ts <= {within}
                     THEN w.event_id END,
-               CASE WHEN w.waits AND w.receipt <> s.receipt AND s.ts - w.ts <= INTERVAL 12 HOUR
+               CASE WHEN w.waits AND w.receipt <> s.receipt AND s.ts - w.ts <= {within}
                     THEN w.ts END,
-               CASE WHEN w.waits AND w.receipt = s.receipt AND s.ts - w.ts <= INTERVAL 12 HOUR
+               CASE WHEN w.waits AND w.receipt = s.receipt AND s.ts - w.ts <= {within}
                     THEN w.event_id END
         FROM walk AS w JOIN steps AS s ON s.user_id = w.user_id AND s.n = w.n + 1
     ), left_over AS (
@@ -237,6 +215,16 @@ TX_MATCH_REPEATED = """
     FROM left_over
 """
 
+
+TX_MATCH_REPEATED = _matched("INTERVAL 12 HOUR")
+TX_MATCH = f"SELECT * FROM ({_matched('INTERVAL 2 HOUR')}) AS m WHERE tag <> 'replaced'"
+TX_UNMATCHED_PAYS = f"""
+    SELECT user_id, pay_time, pay_event_id FROM ({TX_MATCH}) AS m WHERE tag = 'unmatchedPays'
+"""
+TX_UNMATCHED_RECEIPTS = f"""
+    SELECT user_id, receipt_time, receipt_event_id FROM ({TX_MATCH}) AS m WHERE tag = 'unmatchedReceipts'
+"""
+
 STREAM_TX_MATCH = """
     WITH pays AS (SELECT event_id AS tx_id, ts, user_id FROM events WHERE event_type = 'purchase'),
     receipts AS (SELECT event_id - 1 AS tx_id, ts, user_id FROM events WHERE event_type = 'click')

@@ -20,7 +20,7 @@ from eddyline.operators import windows
 from eddyline.operators.reconcile import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
 from eddyline.plans import analyses
 from eddyline.plans.event_queries import Query, is_type, naive_times, with_cents
-from eddyline.session import prepare, scratch_path, shuffle_sized_for
+from eddyline.session import prepare, scratch_path
 from eddyline.sources.lines import read_table, stream_table
 from eddyline.streaming import flows
 from eddyline.streaming.eventtime import ascending, watermark
@@ -36,6 +36,8 @@ Writer = Callable[[DataFrame, str], DataStreamWriter]
 def _closing_rows(table: DataFrame) -> DataFrame:
     """One row of every event type, a year after the last event, of no real user."""
     end = table.agg(F.max("ts")).first()[0]
+    if end is None:
+        return table.limit(0)
     filled = {
         "event_id": F.max("event_id"),
         "ts": F.lit(end + timedelta(days=365)),
@@ -51,8 +53,13 @@ def _closing_rows(table: DataFrame) -> DataFrame:
     )
 
 
-def streamed(writer: Writer, reader: Callable[[SparkSession, str], DataFrame] | None = None):
-    """Register a stream definition `build(events stream) -> DataFrame` as a query."""
+def streamed(
+    writer: Writer, reader: Callable[[SparkSession, str], DataFrame] | None = None, closed: bool = True,
+):
+    """Register a stream definition `build(events stream) -> DataFrame` as a query.
+
+    One without state needs no closing rows: `closed` is false.
+    """
 
     def register(build: Callable[[DataFrame], DataFrame]) -> Query:
         @wraps(build)
@@ -68,12 +75,12 @@ def streamed(writer: Writer, reader: Callable[[SparkSession, str], DataFrame] |
                     stream_table(spark, closing, table.schema),
                 )
                 arriving = arriving.withColumn("ts", F.col("ts").cast("timestamp"))
-                with shuffle_sized_for(table):
-                    run_available(writer(build(arriving), f"{base}/result"), f"{base}/checkpoint")
+                run_available(writer(build(arriving), f"{base}/result"), f"{base}/checkpoint")
 
             start()
-            _closing_rows(table).write.mode("append").parquet(closing)
-            start()
+            if closed:
+                _closing_rows(table).write.mode("append").parquet(closing)
+                start()
             read = reader or (lambda session, path: session.read.parquet(path))
             return naive_times(read(spark, f"{base}/result"))
 
@@ -124,7 +131,7 @@ def stream_domain_traffic(events):
 def stream_login_fail(events):
     timed = watermark(events, "ts", "5 seconds")
     failed = is_type("error")
-    pairs = flows.strict_next(timed, ["user_id"], "ts", failed, failed, "6 hours", seq="event_id", width="5 days")
+    pairs = flows.strict_next(timed, ["user_id"], "ts", failed, failed, "6 hours", seq="event_id")
     return pairs.select(
         "user_id", F.col("first.ts").alias("first_fail_time"),
         F.col("second.ts").alias("last_fail_time"), F.lit(analyses.LOGIN_WARNING).alias("warning_msg"),
@@ -172,7 +179,7 @@ def stream_tx_match(events):
     timed = ascending(events, "ts")
     pays = timed.filter(is_type("purchase")).withColumn("tx_id", F.col("event_id"))
     receipts = timed.filter(is_type("click")).withColumn("tx_id", F.col("event_id") - 1)
-    found = flows.match_join(pays, receipts, ["tx_id"], "ts", "5 minutes", ["user_id"], ["user_id"])
+    found = flows.match(pays, receipts, ["tx_id"], "ts", "5 minutes", ["user_id"], ["user_id"])
     return found.select(
         "tx_id", "tag",
         F.col("left.ts").alias("pay_time"), F.col("left.user_id").alias("pay_user"),
@@ -180,8 +187,6 @@ def stream_tx_match(events):
     )
 
 
-@streamed(append_files)
+@streamed(append_files, closed=False)
 def stream_login_success_view(events):
-    return analyses.login_success_view(events, "event_type, props", "event_type = 'view'").filter(
-        "props IS NOT NULL",
-    )
+    return analyses.login_success_view(events, "event_type, props", "event_type = 'view'")

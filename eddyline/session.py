@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
-
-SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-
-_FEWEST_PARTITIONS = 8
-_PARTITION_BYTES = 32 * 1024 * 1024
+from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -44,35 +38,12 @@ def build_session(app: str = "eddyline", master: str | None = None, **conf: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings, `RUNTIME`, to an existing session, which keeps them."""
     for name, value in RUNTIME.items():
         spark.conf.set(name, value)
     return spark
 
 
-def estimated_bytes(frame: DataFrame) -> int:
-    """The optimizer's upper estimate of a DataFrame's size."""
-    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-@contextmanager
-def shuffle_sized_for(frame: DataFrame) -> Iterator[None]:
-    """Use fewer shuffle partitions where the input is small.
-
-    Batch queries leave this to adaptive execution, but a stream's partitions are
-    fixed when it first starts, and each keeps a state store of its own however
-    little there is to store. The session's setting remains the upper limit.
-    """
-    conf = frame.sparkSession.conf
-    configured = conf.get(SHUFFLE_PARTITIONS)
-    needed = max(_FEWEST_PARTITIONS, -(-estimated_bytes(frame) // _PARTITION_BYTES))
-    conf.set(SHUFFLE_PARTITIONS, str(min(int(configured), needed)))
-    try:
-        yield
-    finally:
-        conf.set(SHUFFLE_PARTITIONS, configured)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach: `spark.checkpoint.dir`, which a cluster must name.
 
@@ -82,7 +53,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="eddyline-")
     spark.conf.set("spark.checkpoint.dir", folder)

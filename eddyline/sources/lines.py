@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_lines(spark: SparkSession, path: str | list[str], numbered: bool = False) -> DataFrame:
-    """Text files as rows of `value`; `numbered` adds the position in the files as `seq`."""
+def read_lines(spark: SparkSession, path: str | list[str], numbered: bool = True) -> DataFrame:
+    """Text files as rows of `value`, with their position in the files as `seq` unless not `numbered`."""
     lines = spark.read.text(path)
     return with_position(lines) if numbered else lines
 

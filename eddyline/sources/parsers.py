@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.text import field, fields, strip, whole_number
 from eddyline.functions.time import (
-    ACCESS_LOG_TIME,
     TRAFFIC_LOG_TIME,
+    access_log_time,
     from_epoch_seconds,
     parse_time,
 )
@@ -87,12 +87,15 @@ def parse_receipt(lines: DataFrame) -> DataFrame:
     })
 
 
-def parse_access(lines: DataFrame) -> DataFrame:
-    """Space-separated access log: fields 0 ip, 1 user, 3 time, 5 method, 6 url."""
+def parse_access(lines: DataFrame, pivot: int = 69) -> DataFrame:
+    """Space-separated access log: fields 0 ip, 1 user, 3 time, 5 method, 6 url.
+
+    Years of two digits from `pivot` on are 19xx, others 20xx.
+    """
     return _record(lines, " ", lambda part: {
         "ip": strip(part[0]),
         "user_id": strip(part[1]),
-        "event_time": parse_time(strip(part[3]), ACCESS_LOG_TIME),
+        "event_time": parse_time(strip(part[3]), access_log_time(pivot)),
         "method": strip(part[5]),
         "url": strip(part[6]),
     })

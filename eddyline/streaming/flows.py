@@ -16,7 +16,6 @@ from pyspark.sql.types import StructType
 from eddyline.functions.time import Duration, from_micros, micros, to_micros
 from eddyline.operators.lifecycle import message
 from eddyline.operators.ranking import top_n
-from eddyline.operators.reconcile import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
 from eddyline.operators.slices import OWN as OWN_COLUMN
 from eddyline.operators.slices import SLICE, with_halo
 from eddyline.streaming.processors import (
@@ -50,15 +49,25 @@ def rank_windows(
     return counts.writeStream.outputMode("append").foreachBatch(rank)
 
 
+# Carried columns travel as JSON; times keep their microseconds.
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def _rows(events: DataFrame, keys: list[str], time: str, seq: str | None, kind: Column,
           carry: list[str]) -> DataFrame:
+    """Rows with a time and a whole key, as the processors read them; others are left out."""
     order = F.col(seq).cast("bigint") if seq else F.lit(0).cast("bigint")
+    for name in [time, *keys]:
+        events = events.filter(F.col(name).isNotNull())
     return events.select(
         *keys, time,
         micros(time).alias("t"),
         order.alias("seq"),
         kind.cast("int").alias("kind"),
-        F.to_json(F.struct(*carry)).alias("payload") if carry else F.lit(None).cast("string").alias("payload"),
+        F.to_json(F.struct(*carry), JSON_TIMES).alias("payload") if carry else F.lit(None).cast("string").alias("payload"),
     )
 
 
@@ -76,7 +85,7 @@ def _part(side: str, time: str, events: DataFrame, carry: list[str]) -> Column:
     if not carry:
         return F.when(F.col(f"{side}_t").isNotNull(), F.struct(at))
     schema = StructType([events.schema[name] for name in carry])
-    values = F.from_json(side, schema)
+    values = F.from_json(side, schema, JSON_TIMES)
     parts = [values[name].alias(name) for name in carry]
     return F.when(F.col(f"{side}_t").isNotNull(), F.struct(at, *parts))
 
@@ -159,34 +168,3 @@ def match(
         _part("first", time, left, left_columns).alias("left"),
         _part("second", time, right, right_columns).alias("right"),
     )
-
-
-def match_join(
-    left: DataFrame, right: DataFrame, keys: list[str], time: str, within: Duration,
-    left_columns: list[str], right_columns: list[str],
-) -> DataFrame:
-    """Matching by an outer join in time, for keys that occur once per side.
-
-    Runs in the JVM only, on streams and on bounded input.
-    """
-    span = F.expr(f"INTERVAL '{to_micros(within) / 1_000_000:.6f}' SECOND")
-    one = left.select(
-        *[F.col(name).alias(f"_l_{name}") for name in keys], F.col(time).alias("_l_time"),
-        F.struct(time, *left_columns).alias("left"),
-    )
-    other = right.select(
-        *[F.col(name).alias(f"_r_{name}") for name in keys], F.col(time).alias("_r_time"),
-        F.struct(time, *right_columns).alias("right"),
-    )
-    condition = F.col("_r_time").between(F.col("_l_time") - span, F.col("_l_time") + span)
-    for name in keys:
-        condition = condition & (F.col(f"_l_{name}") == F.col(f"_r_{name}"))
-    tag = (
-        F.when(F.col("right").isNull(), UNMATCHED_PAYS)
-        .when(F.col("left").isNull(), UNMATCHED_RECEIPTS)
-        .otherwise(MATCHED)
-    )
-    return one.join(other, condition, "full_outer").select(
-        *[F.coalesce(f"_l_{name}", f"_r_{name}").alias(name) for name in keys],
-        tag.alias("tag"), "left", "right",
-    )

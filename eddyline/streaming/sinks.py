@@ -42,9 +42,13 @@ def write_batches(path: str, tag: str | None = None) -> BatchFunction:
 
 def fan_out(
     stream: DataFrame, outputs: dict[str, BatchFunction], tag: str = "tag",
+    otherwise: BatchFunction | None = None,
 ) -> DataStreamWriter:
     """Send each tag's rows to an output of its own, without the tag column.
 
+    Rows of other tags, or of none, go to `otherwise`, with their tag; without
+    it they fail the query.
+
     The micro-batch is kept while the outputs read it, so the operator above
     runs once however many outputs there are.
     """
@@ -52,6 +56,11 @@ def fan_out(
     def split(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            rest = batch.filter(F.col(tag).isNull() | ~F.col(tag).isin(list(outputs)))
+            if otherwise is not None:
+                otherwise(rest, batch_id)
+            elif not rest.isEmpty():
+                raise ValueError(f"rows with tags other than {', '.join(outputs)}")
             for name, write in outputs.items():
                 write(batch.filter(F.col(tag) == name).drop(tag), batch_id)
         finally:

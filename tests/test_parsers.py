@@ -124,3 +124,10 @@ def test_positions_follow_the_file(spark, tmp_path):
         assert [row.user_id for row in read.orderBy("seq").collect()] == list(range(2000))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_years_of_two_digits(spark):
+    rows = spark.createDataFrame([(f"ip u - 17/05/{year}:10:05:03 +0000 GET /x",) for year in ("99", "15")], "value string")
+    read = {row.event_time.year for row in parsers.parse_access(rows).collect()}
+    assert read == {1999, 2015}
+    assert parsers.parse_access(rows, pivot=100).filter("year(event_time) = 2099").count() == 1

@@ -11,7 +11,8 @@ from eddyline.operators.patterns import followed_by, strict_next
 from eddyline.operators.reconcile import match
 from eddyline.operators.slices import slice_micros
 from eddyline.plans import analyses
-from eddyline.streaming.flows import match_join
+from eddyline.sources.lines import read_lines
+from eddyline.sources.parsers import accepted, parse_login, parse_order
 from tests.helpers import (
     collected,
     event_table,
@@ -171,13 +172,35 @@ def test_several_keys_and_carried_columns(spark):
     assert (row.key, row.shop, row.left.kind, row.right.seq) == ("a", 7, "L", 1)
 
 
-def test_outer_join_equals_the_scan_when_keys_are_unique(spark):
-    rows = [(f"k{number}", float(number * 3), number, "L") for number in range(40)]
-    rows += [(f"k{number}", number * 3 + (number % 9) - 4.0, 100 + number, "R") for number in range(5, 50)]
-    events = event_table(spark, rows)
-    sides = (events.filter(kind("L")), events.filter(kind("R")), ["key"], "ts", "3 seconds", ["seq"], ["seq"])
-    columns = ("key", "tag", "left.seq", "right.seq")
-    assert collected(match_join(*sides), *columns) == collected(match(*sides, seq=["seq"]), *columns)
+def test_lines_of_one_second_follow_their_order_in_the_log(spark, tmp_path):
+    """Rows of the shipped logs' layout, read and analysed with default arguments."""
+    (tmp_path / "logins.csv").write_text(
+        "1035,83.149.9.216,fail,1558430843\n1035,83.149.9.216,fail,1558430846\n"
+        "1035,83.149.9.216,fail,1558430847\n1035,83.149.9.216,fail,1558430848\n"
+        "7,10.0.0.7,fail,1558430850\n7,10.0.0.7,success,1558430850\n7,10.0.0.7,fail,1558430850\n"
+    )
+    (tmp_path / "orders.csv").write_text(
+        "1,create,,1558430900\n1,pay,tx1,1558430900\n34756,create,,1558430913\n34756,pay,tx2,1558431951\n"
+        "34768,pay,tx3,1558430950\n"
+    )
+    logins = accepted(parse_login(read_lines(spark, str(tmp_path / "logins.csv"))))
+    found = analyses.login_fail(logins)
+    assert collected(found, "user_id", seconds("first_fail_time")) == {
+        (1035, 1558430846.0): 1, (1035, 1558430847.0): 1,
+    }
+    orders = accepted(parse_order(read_lines(spark, str(tmp_path / "orders.csv"))))
+    assert collected(analyses.order_timeout_pattern(orders), "order_id", "tag") == {
+        (1, "matched"): 1, (34756, "timeout"): 1,
+    }
+    assert collected(analyses.order_lifecycle(orders, mode="strict"), "order_id", "tag") == {
+        (1, "payed"): 1, (34756, "timeout"): 1, (34756, "orphan"): 1, (34768, "orphan"): 1,
+    }
+
+
+def test_summary_leaves_out_rows_without_time_or_key(spark):
+    events = event_table(spark, [("a", None, 0, "create"), (None, 1.0, 1, "pay"), ("b", 1.0, 2, "pay")])
+    found = lifecycle_summary(events, ["key"], "ts", kind("create"), kind("pay"), "7 seconds")
+    assert collected(found, "key", "tag") == {("b", "orphan"): 1}
 
 
 def test_analyses_on_parsed_records(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eddyline.operators.ranking import top_n
 from eddyline.operators.relational import project, restrict
 from eddyline.operators.windows import window_count
-from eddyline.session import scratch_path, shuffle_sized_for
+from eddyline.session import scratch_path
 from eddyline.sources import parsers
 from eddyline.sources.lines import stream_lines
 from eddyline.streaming import flows
@@ -264,15 +264,28 @@ def test_checkpoints_lie_in_the_folder_the_session_names(spark):
     assert checkpoint_path(spark, "login").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_small_inputs_use_fewer_state_partitions(spark):
-    name = "spark.sql.shuffle.partitions"
-    configured = spark.conf.get(name)
-    try:
-        spark.conf.set(name, "200")
-        with shuffle_sized_for(spark.range(10)):
-            assert spark.conf.get(name) == "8"
-        assert spark.conf.get(name) == "200"
-        with shuffle_sized_for(spark.range(10**9)):
-            assert spark.conf.get(name) == "200"
-    finally:
-        spark.conf.set(name, configured)
+def test_rows_of_unnamed_tags_do_not_vanish(spark, arrivals):
+    base = scratch_path(spark, "fan")
+    arrivals.add([("a", 1.0, 0, "x"), ("a", 2.0, 1, "y")])
+    only = {"x": write_batches(f"{base}/x")}
+    rest = fan_out(arrivals.stream(), only, tag="kind", otherwise=write_batches(f"{base}/rest"))
+    run_available(rest, f"{base}/check")
+    assert collected(spark.read.parquet(f"{base}/rest"), "kind", "seq") == {("y", 1): 1}
+    with pytest.raises(Exception, match="rows with tags other than x"):
+        run_available(fan_out(arrivals.stream(), only, tag="kind"), f"{base}/failing")
+
+
+def test_rows_without_time_or_key_are_left_out_and_carried_times_are_whole(spark, arrivals):
+    arrivals.add([
+        ("a", 1.123456, 0, "L"), ("a", 2.5, 1, "R"), ("a", None, 2, "L"), (None, 2.0, 3, "L"),
+    ])
+
+    def build(events):
+        timed = watermark(events.withColumn("also", F.col("ts")), "ts", "5 seconds")
+        return flows.match(
+            timed.filter(kind("L")), timed.filter(kind("R")), ["key"], "ts", "4 seconds",
+            ["also"], ["seq"], "seq", keep_replaced=True,
+        )
+
+    found = result(spark, build, arrivals, [], "LR")
+    assert collected(found, "key", "tag", seconds("left.also"), "right.seq") == {("a", "matched", 1.123456, 1): 1}
