@@ -3,8 +3,8 @@
 Documents become pieces of at most `capacity` tokens. What decides is how many pieces there are
 of each length, `capacity` numbers whatever the size of the corpus. From them the bins are
 filled one after the other: the longest length left is put in, and a subset-sum over the
-lengths available, held as the bits of one integer, finds the fullest combination beside it,
-longer lengths first. The combination is removed and the next bin follows. As long as enough
+lengths available, held as the bits of one integer, finds the fullest combination beside it.
+The combination is removed and the next bin follows. As long as enough
 pieces of each of its lengths are left, the same combination is again the fullest, so it is
 taken as often as it fits at once. Each time a length runs short of what the combination takes,
 and then fewer than capacity / length of it are left; there are at most some capacity *
@@ -22,7 +22,7 @@ documents of their own. An empty table has no pieces. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,11 +61,22 @@ def _multiples(bits: int, length: int, most: int, mask: int) -> int:
     return bits
 
 
-def fullest(counts: dict[int, int], room: int) -> list[tuple[int, int]]:
+#: Which lengths come first where several combinations are as full: keys to sort them by.
+PREFERENCES: tuple[Callable[[int], int], ...] = (
+    lambda length: -length,
+    lambda length: length,
+    lambda length: length * 40503 % 65536,
+    lambda length: -(length * 40503 % 65536),
+)
+
+
+def fullest(
+    counts: dict[int, int], room: int, preference: Callable[[int], int] = PREFERENCES[0],
+) -> list[tuple[int, int]]:
     """Lengths, with how often each is taken, whose sum is the largest up to `room`."""
     mask = (1 << (room + 1)) - 1
     bits, steps = 1, []
-    for length in sorted(counts, reverse=True):
+    for length in sorted(counts, key=preference):
         if length > room or not counts[length]:
             continue
         steps.append((length, bits))
@@ -84,14 +95,32 @@ def fullest(counts: dict[int, int], room: int) -> list[tuple[int, int]]:
 
 
 def fill_bins(counts: dict[int, int], capacity: int) -> list[Filling]:
-    """Minimum bin slack over the number of pieces of each length, 1 to `capacity`."""
+    """Minimum bin slack over the number of pieces of each length, 1 to `capacity`.
+
+    Which of several fullest combinations is taken can make a difference of a few bins in the
+    end, so unless the first way needs no more bins than the total length does, the others are
+    tried as well and the fewest bins count.
+    """
+    least = -(-sum(length * count for length, count in counts.items()) // capacity)
+    best, fewest = [], None
+    for preference in PREFERENCES:
+        fillings = _fill(counts, capacity, preference)
+        bins = sum(filling.times for filling in fillings)
+        if fewest is None or bins < fewest:
+            best, fewest = fillings, bins
+        if fewest == least:
+            break
+    return best
+
+
+def _fill(counts: dict[int, int], capacity: int, preference: Callable[[int], int]) -> list[Filling]:
     left = {length: count for length, count in counts.items() if count}
     fillings = []
     while left:
         longest = max(left)
         beside = dict(left)
         beside[longest] -= 1
-        taken = dict(fullest(beside, capacity - longest))
+        taken = dict(fullest(beside, capacity - longest, preference))
         taken[longest] = taken.get(longest, 0) + 1
         times = min(left[length] // used for length, used in taken.items())
         fillings.append(Filling(tuple(sorted(taken.items(), reverse=True)), times))
