@@ -42,6 +42,15 @@ def _line(entry: Column, layout: ReportLayout) -> Column:
     )
 
 
+def report_text(window_end: Column, entries: Column, layout: ReportLayout) -> Column:
+    """The report of a window from its entries (rank, key, count) in order."""
+    body = F.array_join(F.transform(entries, lambda entry: _line(entry, layout)), "")
+    header = F.concat(
+        F.lit(layout.header), F.date_format(window_end, "yyyy-MM-dd HH:mm:ss.S"), F.lit("\n"),
+    )
+    return F.concat(header, body, F.lit(layout.rule))
+
+
 def ranking_report(
     ranked: DataFrame, key: str, layout: ReportLayout,
     window_end: str = "window_end", count: str = "count", rank: str = "rank",
@@ -51,8 +60,5 @@ def ranking_report(
         F.col(rank).alias("rank"), F.col(key).alias("key"), F.col(count).alias("count"),
     )
     listed = ranked.groupBy(window_end).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    body = F.array_join(F.transform("entries", lambda entry: _line(entry, layout)), "")
-    header = F.concat(
-        F.lit(layout.header), F.date_format(window_end, "yyyy-MM-dd HH:mm:ss.S"), F.lit("\n"),
-    )
-    return listed.select(window_end, F.concat(header, body, F.lit(layout.rule)).alias("report"))
+    text = report_text(F.col(window_end), F.col("entries"), layout)
+    return listed.select(window_end, text.alias("report"))

@@ -17,34 +17,34 @@ _SLICE_WINDOWS = 8
 
 def window_aggregate(
     events: DataFrame, keys: list[str], aggregates: list[Column],
-    time: str, size: Duration, slide: Duration | None = None,
+    time: str, size: Duration, slide: Duration | None = None, window: str | None = None,
 ) -> DataFrame:
     """Aggregates per window and key, on batch and streaming input.
 
     Partial aggregation runs before the shuffle, so a key that holds most of
-    the rows costs each task one row per window.
+    the rows costs each task one row per window. The result has the window's end, or
+    under the name `window` the whole window, which a further aggregation of a stream needs.
     """
     width = f"{to_micros(size)} microseconds"
     step = f"{to_micros(slide)} microseconds" if slide else None
-    grouped = events.groupBy(F.window(time, width, step), *keys).agg(*aggregates)
-    return grouped.select(
-        F.col("window.end").alias("window_end"), *keys,
-        *[name for name in grouped.columns if name not in ("window", *keys)],
-    )
+    grouped = events.groupBy(F.window(time, width, step).alias("window"), *keys).agg(*aggregates)
+    bounds = F.col("window").alias(window) if window else F.col("window.end").alias("window_end")
+    return grouped.select(bounds, *keys, *[name for name in grouped.columns if name not in ("window", *keys)])
 
 
 def window_count(
     events: DataFrame, keys: list[str], time: str, size: Duration, slide: Duration | None = None,
+    window: str | None = None,
 ) -> DataFrame:
-    return window_aggregate(events, keys, [F.count(F.lit(1)).alias("count")], time, size, slide)
+    return window_aggregate(events, keys, [F.count(F.lit(1)).alias("count")], time, size, slide, window)
 
 
 def window_sum(
     events: DataFrame, keys: list[str], value: str, time: str, size: Duration,
-    slide: Duration | None = None, name: str | None = None,
+    slide: Duration | None = None, name: str | None = None, window: str | None = None,
 ) -> DataFrame:
     total = F.sum(value).alias(name or value)
-    return window_aggregate(events, keys, [total], time, size, slide)
+    return window_aggregate(events, keys, [total], time, size, slide, window)
 
 
 def sliding_count(

@@ -316,6 +316,8 @@ ORACLES = {
     # A stream over the whole table ends with the result of the bounded query.
     "stream_sliding_count": _slides("user_id", "events", 3600, 300),
     "stream_hot_items": HOT_ITEMS,
+    "stream_hot_urls": HOT_URLS,
+    "stream_hot_items_report": HOT_ITEMS_REPORT,
     "stream_domain_traffic": DOMAIN_TRAFFIC,
     "stream_login_fail": LOGIN_FAIL,
     "stream_order_timeout_pattern": ORDER_TIMEOUT_PATTERN,

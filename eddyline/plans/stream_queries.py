@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from eddyline.operators import windows
+from eddyline.functions.report import ITEM_REPORT
 from eddyline.operators.reconcile import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
 from eddyline.plans import analyses
-from eddyline.plans.event_queries import Query, is_type, naive_times, with_cents
+from eddyline.plans.event_queries import Query, is_type, naive_times, with_cents, with_url
 from eddyline.session import prepare, scratch_path
 from eddyline.sources.lines import read_table, stream_table
 from eddyline.streaming import flows
@@ -109,16 +109,33 @@ def _matches_by_tag(spark: SparkSession, path: str) -> DataFrame:
     return reduce(DataFrame.unionByName, outputs)
 
 
+def _sliding(events: DataFrame, key: str, size: str, slide: str) -> DataFrame:
+    timed = watermark(events, "ts", "1 second", lateness="1 minute")
+    return flows.sliding_count(timed, [key], "ts", size, slide)
+
+
 @streamed(append_files)
 def stream_sliding_count(events):
-    timed = watermark(events, "ts", "1 second", lateness="1 minute")
-    return windows.window_count(timed, ["user_id"], "ts", "60 minutes", "5 minutes")
+    counts = _sliding(events, "user_id", "60 minutes", "5 minutes")
+    return counts.select(F.col("window.end").alias("window_end"), "user_id", "count")
 
 
 @streamed(_rank_items, _without_batch)
 def stream_hot_items(events):
-    timed = watermark(events, "ts", "1 second", lateness="1 minute")
-    return windows.window_count(timed, ["user_id"], "ts", "60 minutes", "5 minutes")
+    counts = _sliding(events, "user_id", "60 minutes", "5 minutes")
+    return counts.select(F.col("window.end").alias("window_end"), "user_id", "count")
+
+
+@streamed(append_files)
+def stream_hot_urls(events):
+    """Ten minutes every five seconds, ranked in the stream itself."""
+    return flows.top_windows(_sliding(with_url(events), "url", "10 minutes", "5 seconds"), 5, "url")
+
+
+@streamed(append_files)
+def stream_hot_items_report(events):
+    counts = _sliding(events, "user_id", "60 minutes", "5 minutes")
+    return flows.top_reports(counts, 5, "user_id", ITEM_REPORT)
 
 
 @streamed(append_files)

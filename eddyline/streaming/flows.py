@@ -4,34 +4,96 @@ Windows, traffic sums and relational views need no form of their own: the batch
 functions take streams. Inputs carry a watermark (see `eventtime`). A result
 appears when the watermark has passed everything it depends on, hence results
 equal those of the batch forms over the same rows.
+
+Keys are split into slices of time, as in batch: the rows of one key are worked
+on in as many tasks as it has slices, and only one summary per slice comes
+together. A result then waits for the end of its slice as well; `split=False`
+works on whole keys and reports as soon as the watermark allows.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.internal import InternalFunction
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
 from pyspark.sql.types import StructType
 
-from eddyline.functions.time import Duration, from_micros, micros, to_micros
+from eddyline.functions.report import ReportLayout, report_text
+from eddyline.functions.time import Duration, floor_div, from_micros, micros, to_micros
 from eddyline.operators.lifecycle import message
 from eddyline.operators.ranking import top_n
-from eddyline.operators.slices import OWN as OWN_COLUMN
-from eddyline.operators.slices import SLICE, with_halo
+from eddyline.operators.slices import SLICE, slice_micros
+from eddyline.operators.windows import window_count, window_sum
 from eddyline.streaming.processors import (
     FIRST,
+    OUTCOMES_SCHEMA,
     OUTPUT_SCHEMA,
-    OWN,
     SECOND,
+    SUMMARY_SCHEMA,
+    Compose,
     FollowedBy,
     InOrder,
     Lifecycle,
     Match,
+    Sequence,
+    Slices,
     StrictNext,
 )
 from eddyline.streaming.sinks import BatchFunction
 
 
+def sliding_count(
+    events: DataFrame, keys: list[str], time: str, size: Duration, slide: Duration,
+) -> DataFrame:
+    """`windows.sliding_count` on a stream: rows per sliding window and key.
+
+    Rows are counted per pane, as wide as size and slide allow, and panes are summed per window
+    by a second aggregation. A row updates one entry of state, not one per window that covers
+    it; what goes into the windows is a pane's final count, once.
+    """
+    pane = gcd(to_micros(size), to_micros(slide))
+    panes = window_count(events, keys, time, f"{pane} microseconds", window="pane")
+    timed = panes.withColumn("pane_time", F.window_time("pane"))
+    return window_sum(timed, keys, "count", "pane_time", size, slide, window="window")
+
+
+def top_windows(
+    counts: DataFrame, n: int, key: str, count: str = "count", window: str = "window", rank: str = "rank",
+) -> DataFrame:
+    """The n highest counts of each finished window, ties to the smaller key, for any sink.
+
+    `counts` is a windowed aggregate of a stream that still has its `window`. The ranking is an
+    aggregation as well: every task keeps n rows per window, and lists of n are merged.
+    """
+    entry = F.struct((-F.col(count)).alias("minus"), F.col(key).alias("key"))
+    least = InternalFunction.collect_top_k(entry, n, True)
+    ranked = counts.groupBy(window).agg(least.alias("top"))
+    placed = ranked.select(F.col(window)["end"].alias("window_end"), F.posexplode("top").alias("place", "entry"))
+    return placed.select(
+        "window_end", F.col("entry.key").alias(key), (-F.col("entry.minus")).alias(count),
+        (F.col("place") + 1).alias(rank),
+    )
+
+
+def top_reports(
+    counts: DataFrame, n: int, key: str, layout: ReportLayout, count: str = "count", window: str = "window",
+) -> DataFrame:
+    """The report of each finished window's n highest counts, one text per window."""
+    entry = F.struct((-F.col(count)).alias("minus"), F.col(key).alias("key"))
+    ranked = counts.groupBy(window).agg(InternalFunction.collect_top_k(entry, n, True).alias("top"))
+    entries = F.transform(
+        "top",
+        lambda one, place: F.struct(
+            (place + 1).alias("rank"), one["key"].alias("key"), (-one["minus"]).alias("count"),
+        ),
+    )
+    end = F.col(window)["end"]
+    return ranked.select(end.alias("window_end"), report_text(end, entries, layout).alias("report"))
+
+
 def rank_windows(
     counts: DataFrame, n: int, write: BatchFunction, ties: list[str] | None = None,
 ) -> DataStreamWriter:
@@ -71,12 +133,28 @@ def _rows(events: DataFrame, keys: list[str], time: str, seq: str | None, kind:
     )
 
 
-def _processed(rows: DataFrame, keys: list[str], processor: InOrder) -> DataFrame:
+def _processed(
+    rows: DataFrame, keys: list[str], sequence: Sequence, split: bool, width: Duration | None,
+) -> DataFrame:
+    """The outcomes of a sequence: of whole keys, or composed of slices `width` long."""
     kinds = dict(rows.dtypes)
-    schema = ", ".join([*[f"`{name}` {kinds[name]}" for name in keys], OUTPUT_SCHEMA])
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        processor, outputStructType=schema, outputMode="Append", timeMode="EventTime",
+    named = [f"`{name}` {kinds[name]}" for name in keys]
+
+    def outcomes(frame: DataFrame, by: list[str], processor: StatefulProcessor, schema: str, time: str = "") -> DataFrame:
+        return frame.groupBy(*by).transformWithStateInPandas(
+            processor, outputStructType=schema, outputMode="Append", timeMode="EventTime", eventTimeColumnName=time,
+        )
+
+    span = slice_micros(sequence.within, width)
+    if not split:
+        return outcomes(rows, keys, InOrder(keys, sequence, span), ", ".join([*named, OUTPUT_SCHEMA]))
+    by_slice = [*keys, SLICE]
+    sliced = rows.withColumn(SLICE, floor_div(F.col("t"), span))
+    summaries = outcomes(
+        sliced, by_slice, Slices(by_slice, sequence, span), ", ".join([*named, SUMMARY_SCHEMA]), "closed_at",
     )
+    packed = outcomes(summaries, keys, Compose(keys, sequence, span), ", ".join([*named, "outcomes string"]))
+    return packed.select(*keys, F.inline(F.from_json("outcomes", OUTCOMES_SCHEMA)))
 
 
 def _part(side: str, time: str, events: DataFrame, carry: list[str]) -> Column:
@@ -94,25 +172,14 @@ def _flag(condition: Column, bit: int) -> Column:
     return F.when(condition, bit).otherwise(0)
 
 
-def _pattern(
-    processor: type[InOrder], events: DataFrame, keys: list[str], time: str, first: Column,
-    second: Column, within: Duration, seq: str | None, carry: list[str], lend: Column | None,
-    width: Duration | None,
-) -> DataFrame:
-    reach = to_micros(within)
-    span = to_micros(width) if width else max(2 * reach, to_micros("1 minute"))
-    sliced = with_halo(events, micros(time), reach, span, lend)
-    kind = _flag(first, FIRST) + _flag(second, SECOND) + _flag(F.col(OWN_COLUMN), OWN)
-    rows = _rows(sliced, [*keys, SLICE], time, seq, kind, carry)
-    return _processed(rows, [*keys, SLICE], processor([*keys, SLICE], reach))
-
-
 def strict_next(
     events: DataFrame, keys: list[str], time: str, first: Column, second: Column,
     within: Duration, seq: str | None = None, carry: list[str] = (), width: Duration | None = None,
+    split: bool = True,
 ) -> DataFrame:
-    """`patterns.strict_next` on a stream; state is kept per key and slice of time."""
-    found = _pattern(StrictNext, events, keys, time, first, second, within, seq, carry, None, width)
+    """`patterns.strict_next` on a stream."""
+    rows = _rows(events, keys, time, seq, _flag(first, FIRST) + _flag(second, SECOND), carry)
+    found = _processed(rows, keys, StrictNext(to_micros(within)), split, width)
     return found.select(
         *keys,
         _part("first", time, events, carry).alias("first"),
@@ -123,12 +190,12 @@ def strict_next(
 def followed_by(
     events: DataFrame, keys: list[str], time: str, first: Column, second: Column,
     within: Duration, seq: str | None = None, carry: list[str] = (), width: Duration | None = None,
+    split: bool = True,
 ) -> DataFrame:
-    """`patterns.followed_by` on a stream; state is kept per key and slice of time."""
+    """`patterns.followed_by` on a stream."""
     relevant = events.filter(first | second)
-    found = _pattern(
-        FollowedBy, relevant, keys, time, first, second, within, seq, carry, second, width,
-    )
+    rows = _rows(relevant, keys, time, seq, _flag(first, FIRST) + _flag(second, SECOND), carry)
+    found = _processed(rows, keys, FollowedBy(to_micros(within)), split, width)
     return found.select(
         *keys, "tag",
         _part("first", time, events, carry).alias("first"),
@@ -138,13 +205,18 @@ def followed_by(
 
 def lifecycle(
     events: DataFrame, keys: list[str], time: str, created: Column, paid: Column,
-    within: Duration, seq: str | None = None, legacy_timers: bool = False,
+    within: Duration, seq: str | None = None, legacy_timers: bool = False, width: Duration | None = None,
+    split: bool = True,
 ) -> DataFrame:
-    """`lifecycle.lifecycle_strict` on a stream."""
+    """`lifecycle.lifecycle_strict` on a stream.
+
+    With `legacy_timers` keys are not split: timers left behind tie a slice to all that came
+    within the bound before.
+    """
     relevant = events.filter(created | paid)
     kind = F.when(created, Lifecycle.CREATED).otherwise(Lifecycle.PAID)
     rows = _rows(relevant, keys, time, seq, kind, [])
-    found = _processed(rows, keys, Lifecycle(keys, to_micros(within), legacy_timers))
+    found = _processed(rows, keys, Lifecycle(to_micros(within), legacy_timers), split and not legacy_timers, width)
     return found.select(
         *keys, "tag", from_micros("first_t").alias("emitted_at"), message(F.col("tag")).alias("result_msg"),
     )
@@ -153,7 +225,7 @@ def lifecycle(
 def match(
     left: DataFrame, right: DataFrame, keys: list[str], time: str, within: Duration,
     left_columns: list[str], right_columns: list[str], seq: str | None = None,
-    keep_replaced: bool = False,
+    keep_replaced: bool = False, width: Duration | None = None, split: bool = True,
 ) -> DataFrame:
     """`reconcile.match` on two streams, exact also when keys repeat.
 
@@ -162,7 +234,7 @@ def match(
     both = _rows(left, keys, time, seq, F.lit(0), left_columns).unionByName(
         _rows(right, keys, time, seq, F.lit(1), right_columns),
     )
-    found = _processed(both, keys, Match(keys, to_micros(within), keep_replaced))
+    found = _processed(both, keys, Match(to_micros(within), keep_replaced), split, width)
     return found.select(
         *keys, "tag",
         _part("first", time, left, left_columns).alias("left"),

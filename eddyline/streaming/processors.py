@@ -1,16 +1,29 @@
 """Keyed stateful processing with event-time timers.
 
-Rows of a key reach a processor in no particular order. `InOrder` keeps them
-until the watermark has passed them and then steps through them in event-time
-order; the subclasses say what a row does to the few rows a key holds on to.
+What an operator does to the rows of a key in event-time order is a `Sequence`: small steps over
+the few rows a key holds on to. Two ways run one on a stream, whose rows come in no particular
+order.
+
+* `InOrder` keeps a key's rows until the watermark has passed them and then takes the steps. They
+  wait in buckets of time, so a step reads and deletes the buckets that are due and leaves the
+  others alone, however long rows have to wait.
+* `Slices` and `Compose` split a key's history by time. `Slices` runs once per key and slice of
+  time, when the slice is over, and takes its steps without knowing what came before. That can
+  change only what happens up to a certain point, and in one of two ways, so both are worked
+  out. `Compose` sees one summary per slice, lets what the key holds meet the slice's first row,
+  and picks the way that follows from it. All rows of a slice but its first go past it unread.
+
+A key has one timer at a time: a new one that comes earlier replaces it.
 """
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -21,10 +34,16 @@ from eddyline.operators.patterns import MATCHED, TIMEOUT
 from eddyline.operators.reconcile import REPLACED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
 
 ROW_SCHEMA = "t long, seq long, kind int, payload string"
-STATE_SCHEMA = f"{ROW_SCHEMA}, held boolean"
+COLUMNS_SCHEMA = "t array<long>, seq array<long>, kind array<int>, payload array<string>"
+HELD_SCHEMA = "rows array<struct<t: long, seq: long, kind: int, payload: string>>"
 OUTPUT_SCHEMA = "tag string, first_t long, first string, second_t long, second string"
+OUTCOMES_SCHEMA = "array<struct<tag: string, first_t: long, first: string, second_t: long, second: string>>"
+SUMMARY_SCHEMA = (
+    "slice long, closed_at timestamp, entry string, always string, "
+    "kept string, cleared string, held_kept string, held_cleared string"
+)
 
-FIRST, SECOND, OWN = 1, 2, 4
+FIRST, SECOND = 1, 2
 
 
 class Row(NamedTuple):
@@ -42,17 +61,29 @@ class Outcome(NamedTuple):
     second: Row | None = None
 
 
+class Summary(NamedTuple):
+    """What a slice of a key's history amounts to.
+
+    `entry` is the row that meets what the key holds. `always` happens in any case; what else
+    happens, and what is held at the end, depends on whether anything is held after the entry.
+    """
+
+    entry: Row | None
+    always: list[Outcome]
+    found: dict[bool, list[Outcome]]
+    held: dict[bool, list[Row]]
+
+
 def _wake_at(time: int) -> int:
     """A millisecond at which the watermark has surely passed `time`."""
     return time // 1000 + 1
 
 
-class InOrder(StatefulProcessor):
-    def __init__(self, keys: list[str], within: int):
-        self.keys = keys
-        self.within = within
+class Sequence:
+    """The steps of an operator over a key's rows in order."""
 
-    # What a subclass decides
+    def __init__(self, within: int):
+        self.within = within
 
     def order(self, row: Row) -> tuple:
         return row.t, row.seq
@@ -64,69 +95,263 @@ class InOrder(StatefulProcessor):
     def step(self, held: list[Row], row: Row) -> tuple[list[Row], list[Outcome]]:
         raise NotImplementedError
 
-    def due(self, held: list[Row]) -> int | None:
+    def due(self, held: list[Row]) -> int:
         """Earliest time at which `expire` has something to do."""
-        return min((row.t for row in held), default=None)
+        return min(row.t for row in held)
+
+    def advance(self, held: list[Row], row: Row) -> tuple[list[Row], list[Outcome]]:
+        held, expired = self.expire(held, row.t)
+        held, found = self.step(held, row)
+        return held, expired + found
+
+    def summarise(self, rows: list[Row]) -> Summary:
+        """The rows of a slice, in order.
+
+        After a row, a key holds that row or nothing, whatever it held before; the step of the
+        first row is therefore left to `absorb`, and the others follow from both.
+        """
+        held = {True: self.step([], rows[0])[0], False: []}
+        always: list[Outcome] = []
+        found: dict[bool, list[Outcome]] = {True: [], False: []}
+        for row in rows[1:]:
+            if held[True] == held[False]:
+                held[True], more = self.advance(held[True], row)
+                held[False] = held[True]
+                always += more
+            else:
+                for way in held:
+                    held[way], more = self.advance(held[way], row)
+                    found[way] += more
+        return Summary(rows[0], always, found, held)
+
+    def enter(self, held: list[Row], entry: Row | None) -> tuple[bool, list[Row], list[Outcome]]:
+        """Let the entry meet what is held: which way the slice goes, what is held on to beside
+        what the slice leaves, and what happened."""
+        held, outcomes = self.advance(held, entry)
+        return bool(held), [], outcomes
+
+
+def _loaded(text: str) -> list[Row]:
+    return [Row(*values) for values in json.loads(text)]
+
+
+def _packed(outcomes: list[Outcome]) -> str:
+    return json.dumps([dict(zip(OUTPUT_NAMES, _flat(one), strict=True)) for one in outcomes]) if outcomes else ""
 
-    # State, timers and output
+
+def _flat(one: Outcome) -> tuple:
+    parts = [(row.t, row.payload) if row else (None, None) for row in (one.first, one.second)]
+    return one.tag, *parts[0], *parts[1]
+
+
+OUTPUT_NAMES = ["tag", "first_t", "first", "second_t", "second"]
+
+
+def _rows_of(frame: pd.DataFrame) -> list[tuple]:
+    return list(zip(*[frame[name].astype(object).tolist() for name in Row._fields], strict=True))
+
+
+class InOrder(StatefulProcessor):
+    """A sequence over all rows of a key, taken up to the watermark.
+
+    Rows wait in buckets `bucket` microseconds wide. Of a bucket, each micro-batch that brings
+    rows for it writes a part of its own.
+    """
+
+    def __init__(self, keys: list[str], sequence: Sequence, bucket: int):
+        self.keys = keys
+        self.sequence = sequence
+        self.bucket = bucket
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", STATE_SCHEMA)
+        self.waiting = handle.getMapState("waiting", "bucket long, part long", COLUMNS_SCHEMA)
+        self.progress = handle.getValueState(
+            "progress", "buckets array<long>, parts array<long>, firsts array<long>, alarm long",
+        )
+        self.held = handle.getValueState("held", HELD_SCHEMA)
 
     def close(self) -> None:
         pass
 
+    def _pending(self) -> tuple[dict[int, tuple[int, int]], int | None]:
+        """Parts and earliest time of each bucket, and the timer."""
+        known = self.progress.get()
+        if known is None:
+            return {}, None
+        buckets, parts, firsts, alarm = known
+        return dict(zip(buckets, zip(parts, firsts, strict=True), strict=True)), alarm
+
+    def _remember(self, pending: dict[int, tuple[int, int]], alarm: int | None, held: list[Row], fired: int) -> None:
+        """Keep the progress and a timer for whatever is due next; one that no longer counts goes."""
+        due = [first for _, first in pending.values()] + ([self.sequence.due(held)] if held else [])
+        wanted = _wake_at(min(due)) if due else None
+        if alarm is not None and alarm > fired and alarm != wanted:
+            self.handle.deleteTimer(alarm)
+        if wanted is not None and (alarm != wanted or alarm <= fired):
+            self.handle.registerTimer(wanted)
+        if wanted is None:
+            self.progress.clear()
+        else:
+            buckets = sorted(pending)
+            self.progress.update((
+                buckets, [pending[name][0] for name in buckets], [pending[name][1] for name in buckets], wanted,
+            ))
+
+    def _put(self, pending: dict[int, tuple[int, int]], bucket: int, rows: list[tuple]) -> None:
+        parts, first = pending.get(bucket, (0, None))
+        self.waiting.updateValue((bucket, parts), tuple(list(column) for column in zip(*rows, strict=True)))
+        least = min(row[0] for row in rows)
+        pending[bucket] = parts + 1, least if first is None else min(first, least)
+
+    def _take(self, pending: dict[int, tuple[int, int]], bucket: int) -> list[Row]:
+        rows = []
+        for part in range(pending.pop(bucket)[0]):
+            rows += map(Row, *self.waiting.getValue((bucket, part)))
+            self.waiting.removeKey((bucket, part))
+        return rows
+
+    def _held(self) -> list[Row]:
+        known = self.held.get()
+        return [Row(*row) for row in known[0]] if known else []
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pending, alarm = self._pending()
         for frame in rows:
-            arrived = frame[list(Row._fields)].astype(object).values.tolist()
-            self.rows.appendList([(*row, False) for row in arrived])
-            self.handle.registerTimer(_wake_at(min(row[0] for row in arrived)))
+            buckets = frame["t"].to_numpy() // self.bucket
+            order = np.argsort(buckets, kind="stable")
+            arrived = _rows_of(frame.iloc[order])
+            starts = np.flatnonzero(np.diff(buckets[order], prepend=buckets[order[0]] - 1))
+            for start, end in zip(starts, [*starts[1:], len(arrived)], strict=True):
+                self._put(pending, int(buckets[order[start]]), arrived[start:end])
+        self._remember(pending, alarm, self._held(), -1)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        ready, later, held = [], [], []
-        for *values, is_held in self.rows.get():
-            row = Row(*values)
-            (held if is_held else ready if row.t <= passed else later).append(row)
-        due_before = self.due(held) if held else None
-        outcomes: list[Outcome] = []
-        for row in sorted(ready, key=self.order):
-            held, expired = self.expire(held, row.t)
-            held, found = self.step(held, row)
-            outcomes += expired + found
-        held, expired = self.expire(held, passed + 1)
+        pending, alarm = self._pending()
+        held, outcomes = self._held(), []
+        for bucket in sorted(name for name, (_, first) in pending.items() if first <= passed):
+            rows = self._take(pending, bucket)
+            later = [row for row in rows if row.t > passed]
+            if later:
+                self._put(pending, bucket, later)
+            for row in sorted([row for row in rows if row.t <= passed], key=self.sequence.order):
+                held, found = self.sequence.advance(held, row)
+                outcomes += found
+        held, expired = self.sequence.expire(held, passed + 1)
         outcomes += expired
-        self._keep(held, later, due_before, passed)
+        if held:
+            self.held.update(([tuple(row) for row in held],))
+        else:
+            self.held.clear()
+        self._remember(pending, alarm, held, expiredTimerInfo.getExpiryTimeInMs())
         if outcomes:
-            yield self._frame(key, outcomes)
+            yield pd.DataFrame(
+                [(*key, *_flat(one)) for one in outcomes], columns=[*self.keys, *OUTPUT_NAMES], dtype=object,
+            )
 
-    def _keep(self, held: list[Row], later: list[Row], due_before: int | None, passed: int) -> None:
-        kept = [(*row, True) for row in held] + [(*row, False) for row in later]
-        if kept:
-            self.rows.put(kept)
-        else:
-            self.rows.clear()
-        due = self.due(held) if held else None
-        if due_before is not None and due_before > passed and due_before != due:
-            self.handle.deleteTimer(_wake_at(due_before))
-        wanted = [row.t for row in later] + ([due] if held else [])
-        if wanted:
-            self.handle.registerTimer(_wake_at(min(wanted)))
-
-    def _frame(self, key, outcomes: list[Outcome]) -> pd.DataFrame:
-        def part(row: Row | None) -> tuple:
-            return (row.t, row.payload) if row else (None, None)
-
-        return pd.DataFrame(
-            [(*key, one.tag, *part(one.first), *part(one.second)) for one in outcomes],
-            columns=[*self.keys, "tag", "first_t", "first", "second_t", "second"],
-            dtype=object,
-        )
 
+class Slices(StatefulProcessor):
+    """A sequence's summary of one slice of a key, once the watermark has passed the slice.
+
+    The last of `keys` is the slice's number. Rows are written as they come and read once.
+    """
+
+    def __init__(self, keys: list[str], sequence: Sequence, span: int):
+        self.keys = keys
+        self.sequence = sequence
+        self.span = span
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", ROW_SCHEMA)
 
-class StrictNext(InOrder):
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if not self.rows.exists():
+            self.handle.registerTimer(_wake_at((key[-1] + 1) * self.span))
+        for frame in rows:
+            self.rows.appendList(_rows_of(frame))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rows = sorted([Row(*values) for values in self.rows.get()], key=self.sequence.order)
+        self.rows.clear()
+        summary = self.sequence.summarise(rows)
+        # The watermark reaches the timer only now, so this time is beyond the one before.
+        closed = pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs() + 1, unit="ms", tz="UTC")
+        yield pd.DataFrame({
+            **{name: [value] for name, value in zip(self.keys[:-1], key, strict=False)},
+            "slice": [key[-1]], "closed_at": [closed],
+            "entry": [json.dumps(summary.entry) if summary.entry else None],
+            "always": [_packed(summary.always)],
+            "kept": [_packed(summary.found[True])], "cleared": [_packed(summary.found[False])],
+            "held_kept": [json.dumps(summary.held[True])], "held_cleared": [json.dumps(summary.held[False])],
+        })
+
+
+class Compose(StatefulProcessor):
+    """The outcomes of a key from the summaries of its slices, as JSON arrays of outcomes."""
+
+    def __init__(self, keys: list[str], sequence: Sequence, span: int):
+        self.keys = keys
+        self.sequence = sequence
+        self.span = span
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", HELD_SCHEMA)
+        self.alarm = handle.getValueState("alarm", "at long, slice long")
+
+    def close(self) -> None:
+        pass
+
+    def _known(self) -> list[Row]:
+        known = self.held.get()
+        return [Row(*row) for row in known[0]] if known else []
+
+    def _keep(self, held: list[Row]) -> None:
+        """Held rows expire when the slice in which they are due is over, and its summary here."""
+        if not held:
+            self.held.clear()
+            self.alarm.clear()
+            return
+        self.held.update(([tuple(row) for row in held],))
+        over = self.sequence.due(held) // self.span + 1
+        at = _wake_at(over * self.span) + 2
+        self.handle.registerTimer(at)
+        self.alarm.update((at, over))
+
+    def _frame(self, key, texts: list[str]) -> pd.DataFrame:
+        return pd.DataFrame([(*key, text) for text in texts], columns=[*self.keys, "outcomes"], dtype=object)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held, alarm, texts = self._known(), self.alarm.get(), []
+        if alarm is not None:
+            self.handle.deleteTimer(alarm[0])
+        for one in pd.concat(list(rows)).sort_values("slice").itertuples(index=False):
+            way, beside, found = self.sequence.enter(held, Row(*json.loads(one.entry)) if one.entry else None)
+            held = beside + _loaded(one.held_kept if way else one.held_cleared)
+            texts += [_packed(found), one.always, one.kept if way else one.cleared]
+        self._keep(held)
+        texts = [text for text in texts if text]
+        if texts:
+            yield self._frame(key, texts)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        alarm = self.alarm.get()
+        if alarm is None:
+            return
+        held, expired = self.sequence.expire(self._known(), alarm[1] * self.span)
+        self._keep(held)
+        if expired:
+            yield self._frame(key, [_packed(expired)])
+
+
+class StrictNext(Sequence):
     """Holds the last row of the key."""
 
     def due(self, held):
@@ -139,12 +364,12 @@ class StrictNext(InOrder):
         matches = [
             Outcome(MATCHED, last, row)
             for last in held
-            if last.kind & FIRST and last.kind & OWN and row.kind & SECOND
+            if last.kind & FIRST and row.kind & SECOND
         ]
         return [row], matches
 
 
-class FollowedBy(InOrder):
+class FollowedBy(Sequence):
     """Holds the first events that have not been followed yet."""
 
     def due(self, held):
@@ -161,12 +386,28 @@ class FollowedBy(InOrder):
         if row.kind & SECOND:
             matches = [Outcome(MATCHED, one, row) for one in held]
             held = []
-        if row.kind & FIRST and row.kind & OWN:
+        if row.kind & FIRST:
             held = [*held, row]
         return held, matches
 
+    def summarise(self, rows):
+        """First events that come from before are settled by the slice's first second event."""
+        held: list[Row] = []
+        always: list[Outcome] = []
+        for row in rows:
+            held, found = self.advance(held, row)
+            always += found
+        entry = next((row for row in rows if row.kind & SECOND), None)
+        return Summary(entry, always, {True: [], False: []}, {True: held, False: held})
+
+    def enter(self, held, entry):
+        if entry is None:
+            return True, held, []
+        held, outcomes = self.expire(held, entry.t)
+        return True, [], outcomes + [Outcome(MATCHED, one, entry) for one in held]
+
 
-class Lifecycle(InOrder):
+class Lifecycle(Sequence):
     """Holds the waiting creation or payment, as a row whose time is its deadline.
 
     With `legacy_timers` the deadline of a repeated creation does not replace
@@ -175,8 +416,8 @@ class Lifecycle(InOrder):
 
     CREATED, PAID, LEFT_BEHIND = 1, 0, 2
 
-    def __init__(self, keys: list[str], within: int, legacy_timers: bool = False):
-        super().__init__(keys, within)
+    def __init__(self, within: int, legacy_timers: bool = False):
+        super().__init__(within)
         self.legacy_timers = legacy_timers
 
     def _outcome(self, tag: str, time: int) -> Outcome:
@@ -214,11 +455,11 @@ class Lifecycle(InOrder):
         return [row for row in behind if row.t != waiting.t]
 
 
-class Match(InOrder):
+class Match(Sequence):
     """Holds the row that waits for the other side; kind 0 is left, 1 is right."""
 
-    def __init__(self, keys: list[str], within: int, keep_replaced: bool = False):
-        super().__init__(keys, within)
+    def __init__(self, within: int, keep_replaced: bool = False):
+        super().__init__(within)
         self.keep_replaced = keep_replaced
 
     def order(self, row):

@@ -84,26 +84,28 @@ def result(spark, build, arrivals, batches, kinds):
     return spark.read.parquet(f"{base}/out").filter("key <> 'closing'")
 
 
-def test_strict_next(spark, arrivals):
+@pytest.mark.parametrize("split", [True, False])
+def test_strict_next(spark, arrivals, split):
     rows = random_events(12, ["f", "f", "s"], count=160, span=300)
     found = result(
         spark,
         lambda events: flows.strict_next(
             watermark(events, "ts", "5 seconds"), ["key"], "ts", kind("f"), kind("f"), "8 seconds",
-            "seq", ["seq"], "20 seconds",
+            "seq", ["seq"], "5 seconds", split,
         ),
         arrivals, jittered(rows, 5), "fs",
     )
     assert collected(found, "key", "first.seq", "second.seq") == model_strict_next(rows, "f", "f", 8)
 
 
-def test_followed_by(spark, arrivals):
+@pytest.mark.parametrize("split", [True, False])
+def test_followed_by(spark, arrivals, split):
     rows = random_events(13, ["create", "pay", "other"], count=160, span=300)
     found = result(
         spark,
         lambda events: flows.followed_by(
             watermark(events, "ts", "5 seconds"), ["key"], "ts", kind("create"), kind("pay"),
-            "10 seconds", "seq", ["seq"], "30 seconds",
+            "10 seconds", "seq", ["seq"], "7 seconds", split,
         ),
         arrivals, jittered(rows, 5), ["create", "pay"],
     )
@@ -111,28 +113,29 @@ def test_followed_by(spark, arrivals):
     assert collected(found, "key", "tag", "first.seq", "second.seq") == expected
 
 
-@pytest.mark.parametrize("legacy", [False, True])
-def test_lifecycle(spark, arrivals, legacy):
+@pytest.mark.parametrize("legacy, split", [(False, True), (False, False), (True, True)])
+def test_lifecycle(spark, arrivals, legacy, split):
     rows = random_events(14, ["create", "pay", "other"], count=160, span=200)
     found = result(
         spark,
         lambda events: flows.lifecycle(
             watermark(events, "ts", "5 seconds"), ["key"], "ts", kind("create"), kind("pay"),
-            "7 seconds", "seq", legacy,
+            "7 seconds", "seq", legacy, "20 seconds", split,
         ),
         arrivals, jittered(rows, 5), ["create", "pay"],
     )
     assert collected(found, "key", "tag", seconds("emitted_at")) == model_lifecycle(rows, 7, legacy)
 
 
-def test_match(spark, arrivals):
+@pytest.mark.parametrize("split", [True, False])
+def test_match(spark, arrivals, split):
     rows = random_events(15, ["L", "R"], count=160, span=200)
 
     def build(events):
         timed = watermark(events, "ts", "5 seconds")
         return flows.match(
             timed.filter(kind("L")), timed.filter(kind("R")), ["key"], "ts", "4 seconds",
-            ["seq"], ["seq"], "seq", keep_replaced=True,
+            ["seq"], ["seq"], "seq", keep_replaced=True, width="15 seconds", split=split,
         )
 
     found = result(spark, build, arrivals, jittered(rows, 5), "LR")
