@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.functions.report import ITEM_REPORT, URL_REPORT, ranking_report
+from eddyline.functions.time import LABEL_MINUTES
 from eddyline.operators import patterns, reconcile, windows
 from eddyline.operators.relational import query
 from eddyline.plans import analyses
-from eddyline.session import prepare
+from eddyline.session import prepare, scratch_path
 from eddyline.sources import parsers
-from eddyline.sources.lines import read_table
+from eddyline.sources.lines import read_lines, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -335,3 +336,45 @@ def parse_receipt_log(spark, folder):
         events(spark, folder), ",", F.concat(F.lit(" tx"), _text("event_id")), F.col("event_type"), stamp,
     )
     return parsers.accepted(parsers.parse_receipt(lines))
+
+
+# Logs: events are written to text files in the order of their numbers, and the analyses start
+# from the files' lines
+
+
+def _write_log(lines: DataFrame, path: str) -> None:
+    """Files whose names, and lines within, are in the order of event_id."""
+    ordered = lines.repartitionByRange("event_id").sortWithinPartitions("event_id")
+    ordered.select("value").write.text(path)
+
+
+def write_order_log(table: DataFrame, path: str) -> None:
+    kind = F.when(is_type("signup"), "create").when(is_type("purchase"), "pay").otherwise(F.col("event_type"))
+    tx = F.when(is_type("signup"), "").otherwise(F.concat(F.lit("tx"), _text("event_id")))
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
+    _write_log(_line(table, ",", _text("user_id"), kind, tx, seconds), path)
+
+
+@registered
+def order_log_lifecycle(spark, folder):
+    path = scratch_path(spark, "order_log")
+    write_order_log(read_table(spark, folder, "events"), path)
+    orders = parsers.accepted(parsers.parse_order(read_lines(spark, path)))
+    return analyses.order_lifecycle(orders, "24 hours", mode="strict")
+
+
+@registered
+def access_log_hot_urls(spark, folder):
+    """Lines that do not fit are set aside; the others are ranked by the minute."""
+    path = scratch_path(spark, "access_log")
+    _write_log(_access_lines(events(spark, folder)), path)
+    accesses = parsers.accepted(parsers.parse_access(read_lines(spark, path, numbered=False)))
+    return analyses.hot_urls(accesses, slide="1 minute")
+
+
+@registered
+def domain_traffic_minutes(spark, folder):
+    """Labels that stop at the minute."""
+    return analyses.domain_traffic(
+        with_cents(events(spark, folder)), domain="event_type", time="ts", layout=LABEL_MINUTES,
+    )

@@ -237,6 +237,107 @@ STREAM_TX_MATCH = """
      AND p.ts - r.ts <= INTERVAL 5 MINUTE AND r.ts - p.ts <= INTERVAL 5 MINUTE
 """
 
+_LOGGED = """(SELECT event_id, event_type, user_id AS order_id,
+    CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts FROM events) AS logged"""
+
+ORDER_LOG_LIFECYCLE = _walked("order_id", _LOGGED, "INTERVAL 24 HOUR")
+
+_ACCESSES = """(SELECT date_trunc('second', ts) AS ts, '/k/' || json_extract_string(props, '$.k') AS url
+    FROM events WHERE event_type <> 'error') AS u"""
+ACCESS_LOG_HOT_URLS = _ranked(_slides("url", _ACCESSES, 600, 60), "url", 5)
+
+# Timers as a list of times in microseconds, the waiting row's own one among them.
+ORDER_LIFECYCLE_LEGACY = f"""
+    WITH RECURSIVE steps AS (
+        SELECT user_id, epoch_us(ts) AS t, event_type = 'signup' AS created,
+               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+        FROM events WHERE event_type IN ('signup', 'purchase')
+    ), walk AS (
+        SELECT user_id, 0::BIGINT AS n, 'E' AS held, 0::BIGINT AS deadline, []::BIGINT[] AS timers,
+               []::BIGINT[] AS fired, 'E' AS before, NULL::VARCHAR AS got, NULL::BIGINT AS got_at
+        FROM (SELECT DISTINCT user_id FROM steps)
+        UNION ALL
+        SELECT user_id, n,
+               CASE WHEN got IS NOT NULL THEN 'E' WHEN created THEN 'C' ELSE 'P' END,
+               CASE WHEN created THEN t + 86400000000 ELSE t END,
+               CASE WHEN got IS NOT NULL THEN list_filter(left_over, lambda x: x <> deadline)
+                    ELSE list_distinct(list_append(left_over, CASE WHEN created THEN t + 86400000000 ELSE t END)) END,
+               fired, before, got, t
+        FROM (
+            SELECT *, CASE WHEN created AND found = 'P' THEN 'payed'
+                           WHEN NOT created AND found <> 'E' THEN CASE WHEN deadline > t THEN 'payed' ELSE 'late' END
+                      END AS got
+            FROM (
+                SELECT s.user_id, s.n, s.t, s.created, w.deadline, w.held AS before,
+                       list_sort(list_filter(w.timers, lambda x: x < s.t)) AS fired,
+                       list_filter(w.timers, lambda x: x >= s.t) AS left_over,
+                       CASE WHEN len(list_filter(w.timers, lambda x: x < s.t)) > 0 THEN 'E' ELSE w.held END AS found
+                FROM walk AS w JOIN steps AS s ON s.user_id = w.user_id AND s.n = w.n + 1
+            ) AS x
+        ) AS y
+    ), firing AS (
+        SELECT user_id, before, unnest(fired) AS ended, fired[1] AS earliest FROM walk
+        UNION ALL
+        SELECT user_id, held, unnest(list_sort(timers)), list_sort(timers)[1]
+        FROM (SELECT *, max(n) OVER (PARTITION BY user_id) AS last FROM walk) AS e WHERE n = last
+    ), outcomes AS (
+        SELECT user_id, CASE WHEN before = 'P' AND ended = earliest THEN 'orphan' ELSE 'timeout' END AS tag,
+               make_timestamp(ended) AS emitted_at FROM firing
+        UNION ALL
+        SELECT user_id, got, make_timestamp(got_at) FROM walk WHERE got IS NOT NULL
+    )
+    SELECT user_id, tag, emitted_at, {_LIFECYCLE_MESSAGE} FROM outcomes
+"""
+
+SILENT_USERS = """
+    SELECT user_id, ts AS last_seen, ts + INTERVAL 24 HOUR AS silent_at
+    FROM (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next FROM events) AS n
+    WHERE next IS NULL OR next - ts >= INTERVAL 24 HOUR
+"""
+
+# The batch in which a row arrives, and the watermark (milliseconds) that earlier batches left.
+def _arriving(delay_ms: int) -> str:
+    return f"""
+    arriving AS (
+        SELECT *, epoch_us(ts) AS t,
+               floor((epoch_us(ts) + event_id * 7919 % 1000 * 172800000) / 432000000000)::BIGINT AS batch
+        FROM events
+    ), marks AS (
+        SELECT batch, coalesce(
+            max(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) // 1000 - {delay_ms}, 0
+        ) AS mark
+        FROM (SELECT batch, max(t) AS latest FROM arriving GROUP BY batch) AS b
+    )
+    """
+
+
+_KEPT_WINDOWS = "make_timestamp((floor(t / 21600000000)::BIGINT + 1) * 21600000000)"
+
+LATE_COUNTS = f"""
+    WITH {_arriving(86_400_000)}
+    SELECT {_KEPT_WINDOWS} AS window_end, event_type, count(*) AS count
+    FROM arriving JOIN marks USING (batch) WHERE t > mark * 1000 GROUP BY ALL
+"""
+LATE_LEDGER = f"""
+    WITH {_arriving(86_400_000)}, runs AS (
+        SELECT row_number() OVER (ORDER BY batch) - 1 AS run, mark, batch FROM marks
+    )
+    SELECT run::INTEGER AS run, count(*) FILTER (t <= mark * 1000) AS dropped
+    FROM arriving JOIN runs USING (batch) GROUP BY run
+    UNION ALL
+    SELECT max(run)::INTEGER + 1, 0 FROM runs HAVING max(run) IS NOT NULL
+"""
+REVISED_HOT_ITEMS = f"""
+    WITH {_arriving(86_401_000)}, kept AS (
+        SELECT {_KEPT_WINDOWS} AS window_end, user_id, batch FROM arriving JOIN marks USING (batch)
+        WHERE (floor(t / 21600000000) + 1) * 21600000000 > mark * 1000
+    ), counts AS (
+        SELECT window_end, user_id, count(*) AS count, count(DISTINCT batch) - 1 AS revisions FROM kept GROUP BY ALL
+    )
+    SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER BY count DESC, user_id) AS INTEGER) AS rank
+    FROM counts QUALIFY rank <= 5
+"""
+
 SQL_VIEW = """
     SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, max(ts) AS last_ts
     FROM events WHERE value > 10 GROUP BY event_type
@@ -325,4 +426,15 @@ ORACLES = {
     "stream_tx_match_repeated": TX_MATCH_REPEATED,
     "stream_tx_match": STREAM_TX_MATCH,
     "stream_login_success_view": LOGIN_SUCCESS_VIEW,
+    "stream_tx_join": STREAM_TX_MATCH,
+    "stream_two_logs": STREAM_TX_MATCH,
+    "stream_order_lifecycle_legacy": ORDER_LIFECYCLE_LEGACY,
+    "stream_order_log": ORDER_LOG_LIFECYCLE,
+    "stream_silent_users": SILENT_USERS,
+    "stream_late_counts": LATE_COUNTS,
+    "stream_late_ledger": LATE_LEDGER,
+    "stream_revised_hot_items": REVISED_HOT_ITEMS,
+    "order_log_lifecycle": ORDER_LOG_LIFECYCLE,
+    "access_log_hot_urls": ACCESS_LOG_HOT_URLS,
+    "domain_traffic_minutes": DOMAIN_TRAFFIC.replace("%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M"),
 }

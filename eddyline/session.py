@@ -18,6 +18,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Sources written in Python run to the end of the data, and past the watermark, like others.
+    "spark.sql.streaming.triggerAvailableNowWrapper.enabled": "true",
 }
 
 # Settings that only count when the session is created.

@@ -13,7 +13,9 @@ works on whole keys and reports as soon as the watermark allows.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import gcd
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ from eddyline.functions.report import ReportLayout, report_text
 from eddyline.functions.time import Duration, floor_div, from_micros, micros, to_micros
 from eddyline.operators.lifecycle import message
 from eddyline.operators.ranking import top_n
+from eddyline.operators.reconcile import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
 from eddyline.operators.slices import SLICE, slice_micros
 from eddyline.operators.windows import window_count, window_sum
 from eddyline.streaming.processors import (
@@ -39,6 +42,7 @@ from eddyline.streaming.processors import (
     Lifecycle,
     Match,
     Sequence,
+    Silence,
     Slices,
     StrictNext,
 )
@@ -240,3 +244,49 @@ def match(
         _part("first", time, left, left_columns).alias("left"),
         _part("second", time, right, right_columns).alias("right"),
     )
+
+
+def match_join(
+    left: DataFrame, right: DataFrame, keys: list[str], time: str, within: Duration,
+    left_columns: list[str], right_columns: list[str],
+    tags: tuple[str, str] = (UNMATCHED_PAYS, UNMATCHED_RECEIPTS),
+) -> DataFrame:
+    """`match` where every key occurs once a side, as a join of the two streams.
+
+    The rows wait in the join's own state until the watermarks have passed the time bound, and
+    nothing leaves the JVM. Of a key that comes again on its side before the watermark forgets
+    it, the first row to arrive counts; `match` is for keys that repeat. Both streams carry a
+    watermark.
+    """
+
+    def side(events: DataFrame, name: str, columns: list[str]) -> DataFrame:
+        present = reduce(and_, [F.col(column).isNotNull() for column in [time, *keys]])
+        first = events.filter(present).dropDuplicatesWithinWatermark(keys)
+        return first.select(
+            *[F.col(key).alias(f"{name}_{key}") for key in keys], F.col(time).alias(f"{name}_time"),
+            F.struct(time, *columns).alias(name),
+        )
+
+    reach = F.expr(f"INTERVAL '{to_micros(within) / 1_000_000:.6f}' SECOND")
+    one, other = side(left, "left", left_columns), side(right, "right", right_columns)
+    near = (F.col("left_time") <= F.col("right_time") + reach) & (F.col("left_time") >= F.col("right_time") - reach)
+    same = reduce(and_, [F.col(f"left_{key}") == F.col(f"right_{key}") for key in keys])
+    joined = one.join(other, same & near, "full_outer")
+    tag = F.when(F.col("right").isNull(), tags[0]).when(F.col("left").isNull(), tags[1]).otherwise(MATCHED)
+    return joined.select(
+        *[F.coalesce(f"left_{key}", f"right_{key}").alias(key) for key in keys], tag.alias("tag"), "left", "right",
+    )
+
+
+def silence(events: DataFrame, keys: list[str], time: str, within: Duration) -> DataFrame:
+    """Keys after whose row nothing comes for `within`: the keys, `last_seen` and `silent_at`.
+
+    For streams in order of time (`eventtime.ascending`).
+    """
+    rows = _rows(events, keys, time, None, F.lit(0), [])
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*[f"`{name}` {kinds[name]}" for name in keys], "last_t long, silent_t long"])
+    found = rows.groupBy(*keys).transformWithStateInPandas(
+        Silence(keys, to_micros(within)), outputStructType=schema, outputMode="Append", timeMode="EventTime",
+    )
+    return found.select(*keys, from_micros("last_t").alias("last_seen"), from_micros("silent_t").alias("silent_at"))

@@ -351,6 +351,49 @@ class Compose(StatefulProcessor):
             yield self._frame(key, [_packed(expired)])
 
 
+class Silence(StatefulProcessor):
+    """Reports a key after which nothing comes for `within`: its last row and when the time is up.
+
+    A key holds its last row's time, and a timer for when silence would be complete. A further
+    row takes the timer away and sets another; a timer that is reached is a report. Rows of a
+    key come in order from batch to batch; within a batch they are put in order here.
+    """
+
+    def __init__(self, keys: list[str], within: int):
+        self.keys = keys
+        self.within = within
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "t long")
+
+    def close(self) -> None:
+        pass
+
+    def _frame(self, key, times: list[int]) -> pd.DataFrame:
+        return pd.DataFrame(
+            [(*key, time, time + self.within) for time in times], columns=[*self.keys, "last_t", "silent_t"],
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known = self.last.get()
+        times = sorted(time for frame in rows for time in frame["t"].tolist())
+        if known is not None:
+            self.handle.deleteTimer(_wake_at(known[0] + self.within))
+            times = sorted([known[0], *times])
+        self.last.update((times[-1],))
+        self.handle.registerTimer(_wake_at(times[-1] + self.within))
+        silent = [time for time, after in zip(times, times[1:]) if after - time >= self.within]
+        if silent:
+            yield self._frame(key, silent)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known = self.last.get()
+        if known is not None:
+            self.last.clear()
+            yield self._frame(key, [known[0]])
+
+
 class StrictNext(Sequence):
     """Holds the last row of the key."""
 

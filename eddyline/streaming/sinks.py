@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from eddyline.session import shared_folder
 
@@ -40,6 +41,60 @@ def write_batches(path: str, tag: str | None = None) -> BatchFunction:
     return write
 
 
+def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """What a stream that updates has written by `write_batches`: each key's row of the latest batch.
+
+    `revisions` says how often the row was written again. Batches replace themselves when they
+    run again, so neither changes.
+    """
+    written = spark.read.parquet(path)
+    rest = [name for name in written.columns if name not in (*keys, "batch")]
+    batch = F.col("batch").cast("long")
+    latest = written.groupBy(*keys).agg(
+        F.max_by(F.struct(*rest), batch).alias("row"), (F.count(F.lit(1)) - 1).alias("revisions"),
+    )
+    return latest.select(*keys, *[f"row.{name}" for name in rest], "revisions")
+
+
+class DropLedger(StreamingQueryListener):
+    """Counts, per query run and micro-batch, the rows that came after the watermark.
+
+    Spark tells a listener after the fact; `settled` waits until a run's end has been told.
+    """
+
+    def __init__(self):
+        self.dropped: dict[tuple[str, int], int] = {}
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _end_of(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        rows = sum(int(state.numRowsDroppedByWatermark) for state in progress.stateOperators)
+        if rows:
+            key = str(progress.runId), int(progress.batchId)
+            self.dropped[key] = rows
+
+    def onQueryTerminated(self, event) -> None:
+        self._end_of(str(event.runId)).set()
+
+    def settled(self, query: StreamingQuery, seconds: float = 60) -> dict[int, int]:
+        """Dropped rows by micro-batch of a run that has ended."""
+        run = str(query.runId)
+        if not self._end_of(run).wait(seconds):
+            raise TimeoutError("the end of the query was not reported")
+        return {batch: rows for (of, batch), rows in self.dropped.items() if of == run}
+
+
 def fan_out(
     stream: DataFrame, outputs: dict[str, BatchFunction], tag: str = "tag",
     otherwise: BatchFunction | None = None,
