@@ -32,8 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.llm.batches import arrow_schema, binary_array, map_batches, only, spread
-from eddyline.llm.chunks import encoded_texts
-from eddyline.llm.tokenfile import encoder
+from eddyline.llm.chunks import encoded_texts, word_table
 from eddyline.session import scratch_path
 
 CAPACITY = 2048
@@ -171,11 +170,11 @@ def _piece_writer(tokenizer: str, end: int, capacity: int):
     schema = arrow_schema(_PIECES)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part = encoder(tokenizer), TaskContext.get().partitionId()
+        words, part = word_table(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             row = 0
-            for ids, counts in encoded_texts(batch.column("text"), coder, end):
+            for ids, counts in encoded_texts(batch.column("text"), words, end):
                 owners, numbers, lengths = _cut(counts, capacity)
                 order = np.argsort(lengths, kind="stable")
                 of_length = np.bincount(lengths, minlength=capacity + 1)

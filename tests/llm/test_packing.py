@@ -14,10 +14,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from eddyline.llm.chunks import encoded_texts
+from eddyline.llm.chunks import encoded_texts, word_table
 from eddyline.llm.packing import PREFERENCES, Places, _fill, fill_bins, fullest, pack_documents, packed_sequences
 from eddyline.llm.queries import QUERIES, table
-from eddyline.llm.tokenfile import encoder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 16
@@ -122,7 +121,7 @@ def test_batches_are_encoded_as_the_library_does():
     pick = random.Random(5)
     letters = "ab \n\t'é–1日.  "
     texts = TEXTS + ["".join(pick.choices(letters, k=pick.randrange(30))) for _ in range(500)]
-    ids, counts = zip(*encoded_texts(pa.array(texts, pa.string()), encoder(WORD_BPE), 0), strict=True)
+    ids, counts = zip(*encoded_texts(pa.array(texts, pa.string()), word_table(WORD_BPE), 0), strict=True)
     ids, counts = np.concatenate(ids), np.concatenate(counts)
     start = 0
     for text, count in zip(texts, counts.tolist(), strict=True):
