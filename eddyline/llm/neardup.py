@@ -8,16 +8,22 @@ and a document throws darts only until all coordinates are hit, so the work for
 grows with its size, not with its product with the number of elements. An element that weighs w
 has w streams.
 
-Bands of the signature are joined by their hashes. A bucket is never expanded into pairs: each
+Bands of the signature are joined by their hashes. A bucket is never expanded into pairs: it
 picks a leader at random, and members are linked to the leader if the exact similarity of the
-shingle sets reaches the threshold. Members that do not link go on among themselves, under a
-new leader. Links give classes by spreading the least label. Every link is verified; a pair of
-similarity 0.8 shares no band with probability 3e-6, and shares ten of the 32 on average, each
-with a leader of its own.
+shingle sets reaches the threshold. Where all members link, the bucket is one class and done.
+Where some fail, as among documents made from one template, a bucket's pairs are all in doubt.
+The nodes of such open buckets are joined exactly, by prefixes: shingles have one order, about
+the rarest first, and two sets of similarity t or more share one of their first n - ceil(t n) + 1
+shingles. Pairs of one class need no comparing, so in the group of a prefix shingle only the
+nodes outside its largest class are held against the others, at most `AT_ONCE` of them at a
+time, round by round until none is left. Links give classes by spreading the least label.
+Every link is verified. A pair of similarity 0.8 shares no band at all with probability 3e-6; one
+that shares a bucket is found whatever else is in it.
 
 Equal shingle sets are one node (by a 64-bit hash), and documents without words are one node per
 text; so null and empty texts are copies of each other. Rows with equal or null doc_id are rows
-of their own. A class is named by its least doc_id.
+of their own. A class is named by its least doc_id; `class_key` tells classes apart that share it
+because ids repeat. Texts of any length are read whole; an empty table has no classes.
 """
 
 from __future__ import annotations
@@ -39,8 +45,11 @@ SIMILARITY = 0.8
 BANDS = 32
 BAND_ROWS = 5
 
-#: Leaders that a bucket has in turn.
-LEADER_ROUNDS = 4
+#: Nodes of a prefix shingle's group that are held against the others in one round.
+AT_ONCE = 64
+
+#: Counters for the order of shingles, whatever their number.
+COUNTERS = 1 << 20
 
 #: The first interval of ranks lasts to 2 ** -6; documents of more elements throw more darts than needed.
 _FIRST = -6
@@ -147,7 +156,18 @@ def _similar(batch: pa.RecordBatch, least: float) -> Iterator[list]:
     yield [batch.column("leader"), batch.column("node"), found]
 
 
-def verified_links(described: DataFrame, folder: str, least: float = SIMILARITY, rounds: int = LEADER_ROUNDS) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, path: str, least: float) -> DataFrame:
+    """leader, node and whether they are `similar`, of distinct pairs leader and node."""
+    spark = pairs.sparkSession
+    with_member = pairs.join(sets.withColumnRenamed("shingles", "one"), "node")
+    both = with_member.join(sets.select(F.col("node").alias("leader"), F.col("shingles").alias("other")), "leader")
+    map_batches(
+        both.select("leader", "node", "one", "other"), "leader long, node long, similar boolean", _similar, least,
+    ).write.parquet(path)
+    return spark.read.schema("leader long, node long, similar boolean").parquet(path)
+
+
+def verified_links(described: DataFrame, folder: str, least: float = SIMILARITY) -> DataFrame:
     """Pairs leader and node of different shingle sets with at least the given similarity."""
     spark = described.sparkSession
     sets = described.filter("size > 0").groupBy("node").agg(F.first("shingles").alias("shingles"))
@@ -155,29 +175,89 @@ def verified_links(described: DataFrame, folder: str, least: float = SIMILARITY,
         described.select("node", F.explode("bands").alias("band")).groupBy("band", "node").agg(F.count(F.lit(1)).alias("copies"))
         .select("band", "node")
     )
-    paths = []
-    for turn in range(rounds):
-        rank = F.col("node").bitwiseXOR(F.xxhash64("band", F.lit(turn)))
-        leaders = (
-            waiting.groupBy("band").agg(F.min(rank).alias("least"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-            .select("band", F.col("least").bitwiseXOR(F.xxhash64("band", F.lit(turn))).alias("leader"))
+    rank = F.col("node").bitwiseXOR(F.xxhash64("band"))
+    leaders = (
+        waiting.groupBy("band").agg(F.min(rank).alias("least"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+        .select("band", "members", F.col("least").bitwiseXOR(F.xxhash64("band")).alias("leader"))
+    )
+    waiting.join(leaders, "band").filter("node <> leader").write.parquet(f"{folder}/bands")
+    members = spark.read.schema("band long, node long, members long, leader long").parquet(f"{folder}/bands")
+    pairs = members.groupBy("leader", "node").agg(F.count(F.lit(1)).alias("bands")).select("leader", "node")
+    judged = _verified(pairs, sets, f"{folder}/judged", least)
+    links = judged.filter("similar").select("leader", "node")
+    # With three members or more, one that failed may belong to another member.
+    failed = members.filter("members > 2").join(judged.filter("NOT similar"), ["leader", "node"], "left_semi")
+    open_bands = failed.groupBy("band").agg(F.count(F.lit(1)).alias("failed")).select("band")
+    nodes = members.join(open_bands, "band").select(F.explode(F.array("node", "leader")).alias("node"))
+    nodes.groupBy("node").agg(F.count(F.lit(1)).alias("times")).select("node").write.parquet(f"{folder}/open")
+    opened = spark.read.schema("node long").parquet(f"{folder}/open")
+    if opened.isEmpty():
+        return links.distinct()
+    return exact_links(sets.join(opened, "node", "left_semi"), links, f"{folder}/exact", least).distinct()
+
+
+def _counters(batch: pa.RecordBatch) -> Iterator[list]:
+    tokens = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), "<u4")
+    counts = np.bincount(tokens % COUNTERS, minlength=COUNTERS)
+    some = np.flatnonzero(counts)
+    yield [some, counts[some]]
+
+
+def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, least: float) -> Iterator[list]:
+    """The shingles of each set that a similar set shares one of."""
+    nodes, sizes, tokens = [], [], []
+    for node, packed in zip(batch.column("node").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+        shingles = np.frombuffer(packed, "<u4")
+        size = len(shingles)
+        length = size - int(np.ceil(least * size - 1e-9)) + 1
+        tokens.append(shingles[np.lexsort((shingles, counts[shingles % COUNTERS]))[:length]])
+        nodes.append(np.full(len(tokens[-1]), node))
+        sizes.append(np.full(len(tokens[-1]), size))
+    if tokens:
+        yield [np.concatenate(tokens).astype(np.int64), np.concatenate(nodes), np.concatenate(sizes)]
+
+
+def exact_links(sets: DataFrame, links: DataFrame, folder: str, least: float = SIMILARITY, at_once: int = AT_ONCE) -> DataFrame:
+    """The links, and further ones, so that similar `sets` (node and shingles) are of one class."""
+    spark = sets.sparkSession
+    sets.write.parquet(f"{folder}/sets")
+    sets = spark.read.schema("node long, shingles binary").parquet(f"{folder}/sets")
+    counted = map_batches(sets, "place long, n long", _counters).groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)  # as many numbers, whatever the input
+    counts[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
+    kinds = "token long, node long, size long"
+    map_batches(sets, kinds, _prefixes, counts, least).write.parquet(f"{folder}/rows0")
+    turn = 0
+    while True:
+        rows = spark.read.schema(kinds).parquet(f"{folder}/rows{turn}")
+        labels = least_labels(links, f"{folder}/turn{turn}")
+        named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        of_label = named.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
+        groups = of_label.groupBy("token").agg(
+            F.max_by("label", "n").alias("main"), (F.sum("n") - F.max("n")).alias("outside"),
+        ).filter("outside > 0")
+        turned = F.pmod(F.xxhash64("token", "node", F.lit(turn)), F.col("outside"))
+        leads = (F.col("label") != F.col("main")) & (turned < at_once)
+        named.join(groups, "token").withColumn("leads", leads).write.parquet(f"{folder}/marked{turn}")
+        marked = spark.read.schema(
+            f"{kinds}, label long, main long, outside long, leads boolean",
+        ).parquet(f"{folder}/marked{turn}")
+        leading = marked.filter("leads").select(
+            "token", F.col("node").alias("leader"), F.col("size").alias("leader_size"), F.col("label").alias("leader_label"),
+        )
+        near = (F.least("size", "leader_size") >= least * F.greatest("size", "leader_size") - 1e-9) & (
+            F.col("label") != F.col("leader_label")
         )
-        waiting.join(leaders, "band").filter("node <> leader").write.parquet(f"{folder}/band{turn}")
-        members = spark.read.schema("band long, node long, leader long").parquet(f"{folder}/band{turn}")
-        pairs = members.groupBy("leader", "node").agg(F.count(F.lit(1)).alias("bands")).select("leader", "node")
-        with_member = pairs.join(sets.withColumnRenamed("shingles", "one"), "node")
-        both = with_member.join(sets.select(F.col("node").alias("leader"), F.col("shingles").alias("other")), "leader")
-        map_batches(
-            both.select("leader", "node", "one", "other"), "leader long, node long, similar boolean", _similar, least,
-        ).write.parquet(f"{folder}/pairs{turn}")
-        paths.append(f"{folder}/pairs{turn}")
-        judged = spark.read.schema("leader long, node long, similar boolean").parquet(paths[-1])
-        failed = judged.filter("NOT similar").select("leader", "node")
-        if failed.isEmpty():
-            break
-        waiting = members.join(failed, ["leader", "node"]).select("band", "node")
-    judged = spark.read.schema("leader long, node long, similar boolean").parquet(*paths)
-    return judged.filter("similar").select("leader", "node").distinct()
+        once = ~F.col("leads") | (F.col("node") < F.col("leader"))
+        pairs = marked.join(leading, "token").filter(near & once)
+        pairs = pairs.groupBy("leader", "node").agg(F.count(F.lit(1)).alias("tokens")).select("leader", "node")
+        judged = _verified(pairs, sets, f"{folder}/judged{turn}", least)
+        links = links.unionByName(judged.filter("similar").select("leader", "node"))
+        rest = marked.filter((F.col("outside") > at_once) & ~F.col("leads")).select("token", "node", "size")
+        turn += 1
+        rest.write.parquet(f"{folder}/rows{turn}")
+        if spark.read.schema(kinds).parquet(f"{folder}/rows{turn}").isEmpty():
+            return links
 
 
 def least_labels(links: DataFrame, folder: str) -> DataFrame:
@@ -209,7 +289,7 @@ def least_labels(links: DataFrame, folder: str) -> DataFrame:
 def duplicate_classes(
     documents: DataFrame, least: float = SIMILARITY, weighted: bool = False,
 ) -> DataFrame:
-    """doc_id, text_key, class_id and class_size of every row."""
+    """doc_id, text_key, class_id, class_size and class_key of every row."""
     spark = documents.sparkSession
     folder = scratch_path(spark, "neardup")
     frame = only(documents, doc_id="long", text="string").withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
@@ -221,13 +301,14 @@ def duplicate_classes(
         "doc_id", "text_key", F.coalesce("label", "node").alias("label"),
     )
     classes = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return labelled.join(classes, "label").select("doc_id", "text_key", "class_id", "class_size")
+    return labelled.join(classes, "label").select("doc_id", "text_key", "class_id", "class_size", F.col("label").alias("class_key"))
 
 
 def keep_one(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The documents, all columns kept, with one row of every class: that of its least doc_id.
 
-    Of several rows with that doc_id the one whose text has the least hash stays.
+    Rows without id come last. Of several rows with that doc_id the one whose text, and then
+    whose other columns, have the least hash stays; of rows equal in all columns, one.
     """
     spark = documents.sparkSession
     names = documents.columns
@@ -235,22 +316,25 @@ def keep_one(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     unique = documents.toDF(*[f"c{number}" for number in range(len(names))])
     folder = scratch_path(spark, "keep")
     classes = duplicate_classes(documents, least)
-    classes.groupBy(F.coalesce("class_id", "text_key").alias("class"), F.col("class_id").isNull().alias("unnamed")).agg(
-        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("class_id")), F.col("text_key"))).alias("kept_key"),
-        F.first("class_id").alias("kept_id"),
-        F.count_if(F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("rows"),
-    ).write.parquet(f"{folder}/kept")
-    kept = spark.read.parquet(f"{folder}/kept")
+    classes.groupBy("text_key").agg(F.first("class_key").alias("class")).write.parquet(f"{folder}/classes")
+    of_text = spark.read.schema("text_key long, class long").parquet(f"{folder}/classes")
+    # Maps have no hash; as text they have.
+    columns = [F.col(name).cast("string") if "map<" in kind else F.col(name) for name, kind in unique.dtypes]
     keyed = unique.withColumns({
-        "kept_id": F.col(place["doc_id"]).cast("long"),
-        "kept_key": F.xxhash64(F.coalesce(F.col(place["text"]), F.lit(""))),
+        "id": F.col(place["doc_id"]).cast("long"),
+        "text_key": F.xxhash64(F.coalesce(F.col(place["text"]).cast("string"), F.lit(""))),
+        "row_key": F.xxhash64(*columns, *[column.isNull() for column in columns]),
     })
-    ids = F.coalesce("kept_id", F.lit(0).cast("long")).alias("id"), F.col("kept_id").isNull().alias("no_id"), "kept_key"
-    chosen = kept.select(*ids, (F.col("rows") > 1).alias("repeated"))
-    marked = keyed.select("*", *ids[:2]).join(chosen, ["id", "no_id", "kept_key"])
-    columns = [f"c{number}" for number in range(len(names))]
-    single = marked.filter("NOT repeated").select(*columns)
-    if kept.filter("rows > 1").isEmpty():
-        return single.toDF(*names)
-    several = marked.filter("repeated").dropDuplicates(["id", "no_id", "kept_key"]).select(*columns)
-    return single.unionAll(several).toDF(*names)
+    # The least row of every text, and of those the least of every class.
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_key", "row_key")
+    of_class = keyed.groupBy("text_key").agg(F.min(order).alias("row")).join(of_text, "text_key").groupBy("class").agg(
+        F.min("row").alias("row"),
+    )
+    of_class.select("row.*").write.parquet(f"{folder}/kept")
+    kept = spark.read.schema("unnamed boolean, id long, text_key long, row_key long").parquet(f"{folder}/kept")
+    chosen = kept.select("text_key", "row_key", F.col("id").alias("kept_id"))
+    found = keyed.join(
+        chosen.withColumnsRenamed({"text_key": "kept_text", "row_key": "kept_row"}),
+        (F.col("text_key") == F.col("kept_text")) & (F.col("row_key") == F.col("kept_row")) & F.col("id").eqNullSafe(F.col("kept_id")),
+    )
+    return found.dropDuplicates(["text_key", "row_key", "id"]).select(*[f"c{number}" for number in range(len(names))]).toDF(*names)

@@ -421,7 +421,7 @@ def test_classes_equal_brute_force(spark, which, request):
 def test_one_of_each_class_stays(odd, none):
     kept = neardup.keep_one(odd)
     assert kept.columns == odd.columns
-    assert kept.count() == len({row.class_id for row in neardup.duplicate_classes(odd).collect()})
+    assert kept.count() == len({row.class_key for row in neardup.duplicate_classes(odd).collect()})
     assert neardup.keep_one(none).count() == 0
 
 
