@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 #: Bytes of text that one step of numpy work takes at a time; one longer text is taken alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -20,6 +20,9 @@ from eddyline.llm.batches import slices, spread
 from eddyline.llm.bpe import byte_letters
 from eddyline.llm.tokenfile import encoder
 
+#: Text bytes that one step takes at a time.
+TEXT_BYTES = 2 << 20
+
 #: Distinct words a worker remembers before it starts anew.
 REMEMBERED = 500_000
 
@@ -109,7 +112,7 @@ def encoded_texts(texts: pa.Array, words: Words, end: int) -> Iterator[tuple[np.
     """Ids of the texts, each closed by the id `end`, and each text's number of ids, slice by slice."""
     texts = pc.fill_null(texts, "")
     closing = np.array([end], words.kind).tobytes()
-    for start, past in slices(pc.binary_length(texts).to_numpy()):
+    for start, past in slices(pc.binary_length(texts).to_numpy(), TEXT_BYTES):
         some = texts.slice(start, past - start)
         if words.coder.chunked:
             yield _chunked(some, words, closing)

@@ -154,10 +154,15 @@ def fit_ordinal(
 
 def _sparse(batch: pa.RecordBatch) -> Iterator[list]:
     data, offsets = text_bytes(batch.column("text"))
-    row, bucket, value = text_features(data, offsets)
-    cuts = np.searchsorted(row, np.arange(batch.num_rows + 1))
-    pairs = [slice(cuts[place], cuts[place + 1]) for place in range(batch.num_rows)]
-    yield [batch.column("label"), [bucket[part].tolist() for part in pairs], [value[part].tolist() for part in pairs]]
+    for start, end in slices(np.diff(offsets)):
+        part = offsets[start:end + 1]
+        row, bucket, value = text_features(data[part[0]:part[-1]], part - part[0])
+        cuts = np.searchsorted(row, np.arange(end - start + 1))
+        yield [
+            batch.column("label").slice(start, end - start),
+            pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(bucket, pa.int32())),
+            pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(value)),
+        ]
 
 
 def fit_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:

@@ -52,17 +52,23 @@ def mixed(values: np.ndarray) -> np.ndarray:
 _VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[_TABLE]
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+#: Powers that are kept for each base; longer runs are made of them, block by block.
+_KEPT_POWERS = 1 << 16
 _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, size: int) -> np.ndarray:
-    """base ** 0, base ** 1, ... modulo 2 ** 64; kept for the next call."""
+    """base ** 0, base ** 1, ... modulo 2 ** 64."""
     known = _powers.get(base)
-    if known is None or len(known) < size:
-        factors = np.full(max(size, 1 << 16), base, np.uint64)
+    if known is None:
+        factors = np.full(_KEPT_POWERS, base, np.uint64)
         factors[0] = 1
         known = _powers[base] = np.multiply.accumulate(factors)
-    return known[:size]
+    if size <= _KEPT_POWERS:
+        return known[:size]
+    blocks = np.full(-(-size // _KEPT_POWERS), pow(base, _KEPT_POWERS, 1 << 64), np.uint64)
+    blocks[0] = 1
+    return (np.multiply.accumulate(blocks)[:, None] * known[None, :]).ravel()[:size]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
