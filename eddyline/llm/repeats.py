@@ -104,8 +104,13 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
     return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
 
 
+def _unpacked(column: pa.Array) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(packed) for packed in column.to_pylist()], pa.large_binary())
+
+
 def _anchors(batch: pa.RecordBatch, length: int, gram: int) -> Iterator[list]:
-    data, offsets = text_bytes(batch.column("text"))
+    data, offsets = text_bytes(_unpacked(batch.column("packed")))
     h, g = (batch.column(name).to_numpy() for name in TEXT_KEYS)
     for start, end in slices(np.diff(offsets)):
         owners, found = [], []
@@ -147,17 +152,12 @@ def _cutter(length: int):
 
     def cut(batches):
         unpack = zstandard.ZstdDecompressor().decompress
-        met: set[tuple[int, int]] = set()
         told: set[bytes] = set()
         for batch in batches:
             out: list[list] = [[] for _ in schema]
             for h, g, copies, marks, packed in zip(
                 *[batch.column(name).to_pylist() for name in ("h", "g", "copies", "marks", "packed")], strict=True,
             ):
-                if copies > 1:
-                    if (h, g) in met:
-                        continue
-                    met.add((h, g))
                 text = unpack(packed)
                 hashes = None
                 for mark in marks:
@@ -346,25 +346,41 @@ def _spans(batch: pa.RecordBatch, length: int) -> Iterator[list]:
 SPANS = "array<struct<first: long, past: long>>"
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, most_anchors: int = MOST_ANCHORS) -> DataFrame:
-    """h, g and the `spans` that go, for the distinct texts of a column `text` that have some.
+_TEXTS = "h long, g long, size int, packed binary, copies long"
+
+
+def distinct_texts(texts: DataFrame, folder: str) -> DataFrame:
+    """Each text of the column `text` once, as h, g, size in bytes, packed and its copies.
+
+    Copies are combined in the tasks that read them, before the shuffle.
+    """
+    keyed = texts.select("text", *text_keys(F.col("text")), F.octet_length("text").alias("size"))
+    distinct = _with_texts(keyed).groupBy(*TEXT_KEYS).agg(
+        F.first("size").alias("size"), F.first("packed").alias("packed"), F.count(F.lit(1)).alias("copies"),
+    )
+    distinct.select("h", "g", "size", "packed", "copies").write.parquet(f"{folder}/texts")
+    return texts.sparkSession.read.schema(_TEXTS).parquet(f"{folder}/texts")
+
+
+def repeated_spans(
+    distinct: DataFrame, folder: str, length: int = LENGTH, gram: int = GRAM, most_anchors: int = MOST_ANCHORS,
+) -> DataFrame:
+    """h, g and the `spans` that go, for those of the `distinct_texts` that have some.
 
     `gram` must lie between `length` - 255 and `length`.
     """
-    spark = texts.sparkSession
+    spark = distinct.sparkSession
     if not max(1, length - 255) <= gram <= length:
         raise ValueError("the distance from a suffix to its anchor must fit into a byte")
-    folder = scratch_path(spark, "repeats")
-    keyed = texts.select("text", *text_keys(F.col("text"))).filter(F.octet_length("text") >= length)
-    copies = keyed.groupBy(*TEXT_KEYS).agg(F.count(F.lit(1)).alias("copies"), F.max(F.octet_length("text")).alias("size"))
-    found = map_batches(keyed, "key long, h long, g long, place long", _anchors, length, gram)
+    long = distinct.filter(F.col("size") >= length)
+    found = map_batches(long.select("h", "g", "packed"), "key long, h long, g long, place long", _anchors, length, gram)
     runs = _salted(found, "h", "place")
     counted = _repeated(runs, ["key"], F.count(F.lit(1)))
     repeated = runs.join(
         counted.select("key", "salt", (F.col("times") > most_anchors).alias("hot")), ["key", "salt"],
     ).drop("salt")
     marks = repeated.groupBy(*TEXT_KEYS).agg(F.collect_set(F.struct("key", "place", "hot")).alias("marks"))
-    marked = _with_texts(keyed).join(marks.join(copies.drop("size"), list(TEXT_KEYS)), list(TEXT_KEYS))
+    marked = long.select("h", "g", "copies", "packed").join(marks, list(TEXT_KEYS))
     marked.select("h", "g", "copies", "marks", "packed").mapInArrow(_cutter(length), _PIECES).write.parquet(f"{folder}/pieces")
     pieces = spark.read.schema(_PIECES).parquet(f"{folder}/pieces")
     bucketed = (
@@ -372,12 +388,26 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, mos
         .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key")
     )
     merged = bucketed.mapInArrow(_merger(length), _RANGES)
-    whole = copies.filter("copies > 1").select("h", "g", F.lit(0).cast("long").alias("first"), (F.col("size") - length).cast("long").alias("last"))
+    whole = long.filter("copies > 1").select(
+        "h", "g", F.lit(0).cast("long").alias("first"), (F.col("size") - length).cast("long").alias("last"),
+    )
     ranges = merged.unionByName(_hot_ranges(pieces.filter("hot"))).unionByName(whole)
     gathered = ranges.groupBy(*TEXT_KEYS).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
     return map_batches(gathered, f"h long, g long, spans {SPANS}", _spans, length)
 
 
+def _of_texts(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows, which have the keys of their texts, with what was `found` for the texts.
+
+    The rows of a hot text are dealt over salts, and meet a copy of what was found in each.
+    """
+    # Maps have no hash; as text they have.
+    row = F.col("row").cast("string") if "map<" in dict(rows.dtypes)["row"] else F.col("row")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(row), F.lit(SALTS)).cast("int"))
+    present = salted.groupBy(*TEXT_KEYS, "salt").agg(F.count(F.lit(1)).alias("times")).drop("times")
+    return salted.join(found.join(present, list(TEXT_KEYS)), [*TEXT_KEYS, "salt"], "left").drop("salt")
+
+
 def _kept(text: bytes, spans: list[dict[str, int]] | None) -> bytes:
     parts, at = [], 0
     for span in spans or ():
@@ -396,16 +426,21 @@ def _digests(batch: pa.RecordBatch) -> Iterator[list]:
         removed.append(len(text) - len(kept))
         counts.append(len(spans or ()))
         sums.append(hashlib.sha256(kept).hexdigest())
-    yield [batch.column("doc_id"), sizes, removed, counts, sums]
+    yield [batch.column("h"), batch.column("g"), sizes, removed, counts, sums]
 
 
 def repeat_digests(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
+    folder = scratch_path(documents.sparkSession, "repeats")
     frame = only(documents, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
-    spans = repeated_spans(frame, length)
-    keyed = _with_texts(frame.select("doc_id", "text", *text_keys(F.col("text"))))
-    joined = keyed.join(spans, list(TEXT_KEYS), "left").select("doc_id", "packed", "spans")
-    return map_batches(joined, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", _digests)
+    distinct = distinct_texts(frame, folder)
+    spans = repeated_spans(distinct, folder, length)
+    of_texts = distinct.select("h", "g", "packed").join(spans, list(TEXT_KEYS), "left")
+    digests = map_batches(
+        of_texts, "h long, g long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", _digests,
+    )
+    rows = frame.select("doc_id", F.struct("doc_id").alias("row"), *text_keys(F.col("text")))
+    return _of_texts(rows, digests).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def whole_characters(text: bytes, spans: list[dict[str, int]]) -> list[dict[str, int]]:
@@ -434,10 +469,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents, all columns and rows kept, without the spans; characters that a span covers
     in part stay. `n_chars`, where it is a column, follows the texts that were cut."""
 
+    folder = scratch_path(documents.sparkSession, "repeats")
+
     def cut(frame: DataFrame) -> DataFrame:
-        spans = repeated_spans(frame.select(F.coalesce("text", F.lit("")).alias("text")), length)
-        keyed = frame.select("*", *text_keys(F.coalesce("text", F.lit(""))))
-        joined = keyed.join(spans, list(TEXT_KEYS), "left").select("row", "text", "spans")
+        spans = repeated_spans(distinct_texts(frame.select(F.coalesce("text", F.lit("")).alias("text")), folder), folder, length)
+        keyed = frame.select("row", "text", *text_keys(F.coalesce("text", F.lit(""))))
+        joined = _of_texts(keyed, spans).select("row", "text", "spans")
         return map_batches(joined, f"row {dict(frame.dtypes)['row']}, text string", _cut)
 
     return replaced(documents, cut)
