@@ -222,7 +222,7 @@ def mark_phrases(frame: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     `spans` are merged runs of words inside occurrences, `items` the item ids as sorted strings.
     """
     spark = frame.sparkSession
-    items = only(benchmark, item_id="string", text="string").filter("text IS NOT NULL")
+    items = only(benchmark, item_id="string", text="string").filter("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     marked = frame.withColumns({
