@@ -6,7 +6,9 @@ Levenshtein automaton of distance one, intersected with the trie and made determ
 by state, reads a word and tells whether it is a term, or one edit away from a term.
 
 Every hit is seen in its context: the hits within eight words around it, and whether it stands
-in quotation marks. Logistic regression over a few sums of hits (exact, misspelled, quoted,
+in quotation marks. Marks count in pairs within a sentence: one that opens before a word, and one
+that closes behind a word; others, as behind inches, are no quotation. Typographic marks are read
+as plain ones, so no word contains them. Logistic regression over a few sums of hits (exact, misspelled, quoted,
 crowded) gives the score; what a quotation or a misspelling is worth is learned like the rest.
 
 Fitting takes at most `sample` labelled documents, the first by hash of doc_id. Null texts are
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from eddyline.llm.batches import map_batches, only
 from eddyline.llm.words import words_of
+from eddyline.session import scratch_path
 
 #: Labelled documents that fitting takes at most.
 SAMPLE = 12_000
@@ -37,15 +40,17 @@ STEM_LETTERS = (4, 8)
 #: Terms with fewer letters are not looked for misspelled.
 FUZZY_LETTERS = 5
 
-#: Most terms of a lexicon, by evidence.
-MOST_TERMS = 5000
-
 #: Words on either side of a hit that are its context.
 CONTEXT = 8
 
 PREDICTED_FROM = 0.7
 
-_QUOTES = re.compile('["“”„«»]')
+#: Typographic quotation marks and apostrophes, and the plain ones they are read as.
+_MARKS = {ord(mark): plain for marks, plain in (("“”„‟«»", '"'), ("‘’‚‛‹›", "'")) for mark in marks}
+
+#: A pair of marks with no end of a sentence between.
+_QUOTED = re.compile(r"""(?<![^\s(\[{'])"(?=\S)(?:(?![.!?]\s)[^"\n])+"(?!\w)""")
+
 _FEATURES = 7
 
 
@@ -130,11 +135,22 @@ class Lexicon:
         return known
 
 
+def plain_marks(text: str | None) -> str:
+    return (text or "").translate(_MARKS)
+
+
+def is_quoted(text: str, places: np.ndarray) -> np.ndarray:
+    """Which places of a text with plain marks lie within a pair of quotation marks."""
+    pairs = np.array([match.span() for match in _QUOTED.finditer(text)], np.int64).reshape(-1, 2)
+    at = np.searchsorted(pairs[:, 0], places, "right") - 1
+    return (at >= 0) & (places < pairs[at, 1]) if len(pairs) else np.zeros(len(places), bool)
+
+
 def text_features(text: str | None, lexicon: Lexicon) -> np.ndarray:
     """Sums over the hits of a text."""
     features = np.zeros(_FEATURES)
-    data = (text or "").encode()
-    words = words_of(data)
+    text = plain_marks(text)
+    words = words_of(text.encode())
     get = lexicon._known.get
     kinds = list(map(get, words))
     if None in kinds:
@@ -144,11 +160,8 @@ def text_features(text: str | None, lexicon: Lexicon) -> np.ndarray:
         return features
     values = np.array(kinds, np.int8)[hits]
     quoted = np.zeros(len(hits), bool)
-    marks = [match.start() for match in _QUOTES.finditer(text)]
-    if marks:
-        places = np.array([match.start() for match in _WORD.finditer(text)])
-        if len(places) == len(words):
-            quoted = np.searchsorted(marks, places[hits]) % 2 == 1
+    if '"' in text:
+        quoted = is_quoted(text, np.array([match.start() for match in _WORD.finditer(text)])[hits])
     crowd = np.searchsorted(hits, hits + CONTEXT, "right") - np.searchsorted(hits, hits - CONTEXT) - 1
     exact, near = values == 1, values == 2
     features[:] = (
@@ -167,7 +180,7 @@ def _terms(batch: pa.RecordBatch) -> Iterator[list]:
     low, high = STEM_LETTERS
     for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
         found: set[str] = set()
-        for word in set(words_of((text or "").encode())):
+        for word in set(words_of(plain_marks(text).encode())):
             letters = word.decode()
             found.add(letters)
             found.update(letters[:size] + "*" for size in range(low, min(high, len(letters)) + 1))
@@ -193,9 +206,8 @@ def learn_lexicon(labelled: DataFrame) -> list[str]:
     # By chance alone one of so many candidates would reach the logarithm of their number.
     candidates = counted.filter(F.col("clean") + F.col("toxic") >= 3).count()
     found = (
-        frequent.filter((share >= 0.8) & (F.col("gain") > math.log(max(2, candidates))))
-        .orderBy(F.desc("gain"), "term").limit(MOST_TERMS).collect()
-    )
+        frequent.filter((share >= 0.8) & (F.col("gain") > math.log(max(2, candidates)))).select("term").collect()
+    )  # terms of a bounded sample
     kept: set[str] = set()
     for term in sorted((row["term"] for row in found), key=lambda term: (len(term), term)):
         letters = term.removesuffix("*")
@@ -272,7 +284,9 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, sample: int = SAMPL
     """doc_id, held_out, score and predicted of every document."""
     frame = only(documents, doc_id="long", text="string")
     marks = only(labels, doc_id="long", toxic="int")
-    labelled = labelled_sample(frame, marks, F.when(F.col("toxic").isin(0, 1), F.col("toxic")), sample)
+    folder = scratch_path(documents.sparkSession, "toxicity")
+    labelled_sample(frame, marks, F.when(F.col("toxic").isin(0, 1), F.col("toxic")), sample).write.parquet(folder)
+    labelled = documents.sparkSession.read.schema("doc_id long, text string, label int").parquet(folder)
     terms = tuple(learn_lexicon(labelled))
     featured = map_batches(labelled.select("text", "label"), "label int, features array<double>", _featured, terms)
     rows = featured.collect()  # at most `sample` rows of a few numbers
