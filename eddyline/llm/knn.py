@@ -10,7 +10,8 @@ for centre c and radius s of the query group, centre p and radius r of the cell.
 lower bounds guarantee k vectors give a group's threshold, and a cell takes part for a group
 only if its upper bound reaches the threshold. Only the necessary cells and groups are sent
 to each other, in blocks of bounded size that a task solves alone; the blocks' best rows are
-merged per query.
+merged per query. Where the bounds of several groups exclude so little that the data would
+travel more than for one group of all queries, that one is taken.
 
 Equal vectors are told apart only by their id, so of each distinct vector the k + 1 smallest
 ids can be answers; the others are left out before the search, which splits a hot vector.
@@ -19,7 +20,8 @@ Vectors that are null, or hold nulls or non-finite components, take no part; nei
 without id. Vectors of differing lengths are compared over the components that both have.
 Repeated ids are rows of their own among the data; a query leaves out the rows of its own id,
 and of several rows with one id the least vector is the query. Components
-become floor(scale * x); scores are exact integers, cut off at the range of a long.
+become floor(scale * x), cut off at 2 ** 200; scores are exact integers, cut off at the range of
+a long. An empty table, and one without queries, gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.llm.batches import map_batches, only
+from eddyline.llm.products import exact_products
 from eddyline.session import scratch_path
 
 SCALE = 1024
@@ -47,7 +50,7 @@ CELL_ROWS = 16384
 GROUP_ROWS = 4096
 
 _EXACT = float(1 << 53)
-_LONG = (-(1 << 63), (1 << 63) - 1)
+_LARGEST = 2.0 ** 200
 
 
 def _padded(column: pa.Array, width: int) -> np.ndarray:
@@ -80,7 +83,8 @@ def _usable(embeddings: DataFrame, scale: int) -> DataFrame:
 
 
 def _floor(value: Column) -> Column:
-    """The floor as a double; beyond 2 ** 53 doubles are whole already."""
+    """The floor as a double, within the largest numbers; beyond 2 ** 53 doubles are whole already."""
+    value = F.greatest(F.lit(-_LARGEST), F.least(F.lit(_LARGEST), value))
     return F.when(F.abs(value) < _EXACT, F.floor(value).cast("double")).otherwise(value)
 
 
@@ -123,16 +127,6 @@ def necessary_cells(
     return (high >= threshold[:, None]) & (counts > 0)[None, :]
 
 
-def integer_products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole-number matrices, as 64-bit integers."""
-    largest = np.abs(queries).max(initial=0) * np.abs(data).max(initial=0) * max(1, queries.shape[1])
-    if largest < _EXACT:
-        return (queries @ data.T).astype(np.int64)
-    whole = [[[int(value) for value in row] for row in matrix] for matrix in (queries, data)]
-    products = [[min(max(sum(map(int.__mul__, one, other)), _LONG[0]), _LONG[1]) for other in whole[1]] for one in whole[0]]
-    return np.array(products, np.int64).reshape(len(queries), len(data))
-
-
 def _solver(width: int, k: int):
     columns = ["query_id", "vec_id", "score"]
 
@@ -149,13 +143,14 @@ def _solver(width: int, k: int):
             matrices.append(matrix)
         parts = []
         for start in range(0, len(queries), 256):
-            scores = integer_products(matrices[0][start:start + 256], matrices[1])
+            scores = exact_products(matrices[0][start:start + 256], matrices[1])
             for own, row in zip(queries["vec_id"].to_numpy()[start:start + 256], scores, strict=True):
                 others = np.flatnonzero(ids != own)
                 if len(others) > k:
                     least = np.partition(row[others], len(others) - k)[len(others) - k]
                     others = others[row[others] >= least]
-                best = others[np.argsort(-row[others].astype(object) if row.min(initial=0) == _LONG[0] else -row[others], kind="stable")[:k]]
+                # The complement falls as scores rise, for every long.
+                best = others[np.argsort(~row[others], kind="stable")[:k]]
                 parts.append(np.stack([np.full(len(best), own), ids[best], row[best]]))
         found = np.concatenate(parts, axis=1)
         return pd.DataFrame(dict(zip(columns, found, strict=True)))
@@ -185,41 +180,47 @@ def top_k(
     if not width or not query_count:
         return spark.createDataFrame([], result)
     cells = _pivots(vectors, MOST_CELLS, width)
-    centres = _pivots(queries, max(1, min(MOST_GROUPS, query_count // 128)), width)
     _grouped(data, cells).write.parquet(f"{folder}/data")
-    _grouped(queries, centres).write.parquet(f"{folder}/queries")
     grouped = f"{kinds}, cell int, distance double"
-    data, queries = (spark.read.schema(grouped).parquet(f"{folder}/{name}") for name in ("data", "queries"))
+    data = spark.read.schema(grouped).parquet(f"{folder}/data")
     counts, radii = _summaries(data, len(cells))
-    group_counts, spreads = _summaries(queries, len(centres))
-    needed = necessary_cells(centres, spreads, cells, radii, counts, k + 1)
-    # Blocks: a cell or a group with more rows than a block holds is dealt out by hash.
-    cell_parts, group_parts = -(-counts // cell_rows), -(-group_counts // group_rows)
-    cells_of = [
-        [(int(cell), part) for cell in np.flatnonzero(needed[group]) for part in range(cell_parts[cell])]
-        for group in range(len(centres))
-    ]
-    groups_of = [
-        [(int(group), part) for group in np.flatnonzero(needed[:, cell]) for part in range(group_parts[group])]
-        for cell in range(len(cells))
-    ]
-
-    def routed(frame: DataFrame, parts: np.ndarray, partners: list[list[tuple[int, int]]], own: str, other: str) -> DataFrame:
-        kind = f"array<struct<{other}: int, {other}_part: int>>"
+    cell_parts = -(-counts // cell_rows)
+    choices = []
+    for number in sorted({1, max(1, min(MOST_GROUPS, query_count // 128))}):
+        centres = _pivots(queries, number, width)
+        path = f"{folder}/queries{number}"
+        _grouped(queries, centres).write.parquet(path)
+        grouped_queries = spark.read.schema(grouped).parquet(path)
+        group_counts, spreads = _summaries(grouped_queries, len(centres))
+        needed = necessary_cells(centres, spreads, cells, radii, counts, k + 1)
+        group_parts = -(-group_counts // group_rows)
+        moved = int((needed * counts[None, :] * group_parts[:, None]).sum())
+        choices.append((moved, number, grouped_queries, needed, group_parts))
+    _, _, queries, needed, group_parts = min(choices, key=lambda choice: choice[:2])
+
+    def routed(frame: DataFrame, parts: np.ndarray, partners: np.ndarray, other_parts: np.ndarray, own: str, other: str) -> DataFrame:
+        """The rows once for every block of every partner that needs them, dealt to their own blocks by hash."""
         routes = spark.createDataFrame(
-            [(place, int(max(1, count)), partners[place]) for place, count in enumerate(parts)],
-            f"cell int, parts int, partners {kind}",
+            [
+                (place, int(max(1, count)), [(int(one), int(other_parts[one])) for one in np.flatnonzero(partners[place])])
+                for place, count in enumerate(parts)
+            ],
+            f"cell int, parts int, partners array<struct<{other}: int, blocks: int>>",
         )
-        # One row per pivot, with the blocks of at most as many partners.
+        # One row per pivot, and in it one entry per pivot of the other side.
         joined = frame.join(F.broadcast(routes), "cell")
-        part = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("parts")).cast("int")
-        return joined.select(
+        part = F.pmod(F.xxhash64("vec_id", "vector", F.lit(7)), F.col("parts")).cast("int")
+        sent = joined.select(
             F.col("cell").alias(own), part.alias(f"{own}_part"), F.explode("partners").alias("partner"), "vec_id", "vector",
-        ).select(own, f"{own}_part", f"partner.{other}", f"partner.{other}_part", "vec_id", "vector")
+        ).filter("partner.blocks > 0")
+        return sent.select(
+            own, f"{own}_part", f"partner.{other}",
+            F.explode(F.sequence(F.lit(0), F.col("partner.blocks") - 1)).alias(f"{other}_part"), "vec_id", "vector",
+        )
 
     block = ["c", "c_part", "g", "g_part"]
-    left = routed(queries, group_parts, cells_of, "g", "c").groupBy(*block)
-    right = routed(data, cell_parts, groups_of, "c", "g").groupBy(*block)
+    left = routed(queries, group_parts, needed, cell_parts, "g", "c").groupBy(*block)
+    right = routed(data, cell_parts, needed.T, group_parts, "c", "g").groupBy(*block)
     found = left.cogroup(right).applyInPandas(_solver(width, k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(

@@ -99,6 +99,17 @@ def test_top_k_of_odd_vectors(spark):
     assert knn.top_k(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_top_k_of_very_large_numbers(spark):
+    """Beyond the range of a long, scores are cut off; ids break the ties."""
+    rows = [(100, [1e306, 1.0]), (1, [1e306, 0.0]), (2, [2e306, 5.0]), (3, [-1e306, 0.0]), (4, [0.0, 3.0]), (5, [3e15, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = knn.top_k(frame, F.col("vec_id") == 100).orderBy("rank").collect()
+    most = (1 << 63) - 1
+    assert [(row["vec_id"], row["score"]) for row in found] == [
+        (1, most), (2, most), (5, most), (4, 3 * 1024 * 1024), (3, -most - 1),
+    ]
+
+
 def test_top_k_in_many_small_blocks(spark):
     draw = np.random.default_rng(5)
     vectors = np.r_[draw.normal(size=(600, 8)), np.repeat(draw.normal(size=(1, 8)), 200, axis=0)]
