@@ -1,17 +1,19 @@
 """Sharding by balanced label propagation: linked documents to one shard, shards of equal counts.
 
-Documents with equal texts are linked. Each document starts in a shard by hash. In every round
-each group of linked documents counts its members per shard (at most one row per group and
-shard is shuffled, never pairs), the most frequent shard becomes the group's wish, and the
-wishes are granted as far as quotas allow: what enters a shard is bounded by its free places
-and by what leaves it. Groups are granted as wholes; of a group that is large beside a shard,
-a part is. At last every shard's documents are ranked, linked ones first, and what stands
-beyond the shard's size moves, group by group, to the shards with places left. This gives
-slots without gaps and counts that differ by one at most, whatever the rounds have left.
-
-A group larger than a shard fills shards one after the other. Null texts count as empty ones
-and are linked; rows with equal or null doc_id are rows of their own. An empty table gives no
-rows.
+Documents with equal texts are linked. Groups that are large beside a shard are few, whatever the
+number of documents; they are placed first, the largest in front, as wholes where one fits and
+otherwise in as few parts as the room allows. The other documents start by hash, in proportion to
+the room that is left. In every round each group of linked documents counts its members per shard
+(at most one row per group and shard is shuffled, never pairs), the most frequent shard becomes
+the group's wish, and the wishes are granted as far as quotas allow: what enters a shard is
+bounded by its free places and by what leaves it. Rounds go on while the number of divided groups
+falls. At last every shard's documents are ranked, linked ones first, and what stands beyond
+the shard's size moves, group by group, to the shards with places left. This gives slots
+without gaps and counts that differ by one at most, whatever the rounds have left.
+
+Null texts count as empty ones and are linked; texts of any length are read whole; rows with
+equal or null doc_id are rows of their own. An empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -27,12 +29,14 @@ from eddyline.llm.batches import arrow_schema, only
 from eddyline.session import scratch_path
 
 SHARDS = 8
-ROUNDS = 4
+
+#: Rounds after which propagation ends even if groups still come together.
+ROUNDS = 12
 
 #: How far a shard may exceed its size between rounds; documents without links even it out.
 SLACK = 0.05
 
-#: A group with more than this share of a shard's size is granted in part.
+#: A group with more than this share of a shard's size is large; all shards hold 800 at most.
 LARGE_SHARE = 0.01
 
 _NODE = "doc_id long, size long, text_crc32 long, h long, g long"
@@ -43,6 +47,26 @@ def _fraction(*columns: object) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def place_large(groups: list[tuple[int, int]], room: list[int]) -> list[list[tuple[int, int]]]:
+    """For groups (name, members), largest first: the shards and how many members go to each.
+
+    A whole group goes where the least room is left over; a group that fits nowhere is divided
+    over the shards with most room. `room` is what remains.
+    """
+    out = []
+    for _, members in groups:
+        fitting = [shard for shard in range(len(room)) if room[shard] >= members]
+        parts, left = [], members
+        while left:
+            shard = min(fitting, key=room.__getitem__) if fitting else max(range(len(room)), key=room.__getitem__)
+            taken = min(left, room[shard])
+            room[shard] -= taken
+            left -= taken
+            parts.append((shard, taken))
+        out.append(parts)
+    return out
+
+
 def granted_shares(wished: dict[tuple[int, int], int], sizes: list[int], most: int) -> list[float]:
     """Share of the wishes for each shard that can be granted under the quotas.
 
@@ -65,29 +89,31 @@ def _pick(values: list[float], by: Column) -> Column:
     return F.element_at(F.array(*[F.lit(value) for value in values]), (by + 1).cast("int"))
 
 
-def _propagate(linked: DataFrame, single_sizes: list[int], most: int, turn: int) -> DataFrame:
-    """One round over the linked documents, which carry `shard` and the size of their group."""
-    counts = linked.groupBy("h", "g", "members", "shard").agg(F.count(F.lit(1)).alias("here"))
-    wishes = counts.groupBy("h", "g", "members").agg(
+def _propagate(linked: DataFrame, other_sizes: list[int], most: int, turn: int) -> tuple[DataFrame, int]:
+    """One round over the linked documents of small groups, which carry their `shard`; and how
+    many groups were divided before it."""
+    counts = linked.groupBy("h", "g", "shard").agg(F.count(F.lit(1)).alias("here"))
+    wishes = counts.groupBy("h", "g").agg(
         F.max_by("shard", F.struct(F.col("here"), F.xxhash64("h", "g", "shard"))).alias("wish"),
         F.collect_list(F.struct("shard", "here")).alias("places"),
     )
     flows = (
-        wishes.select("wish", F.explode("places").alias("place"))
-        .groupBy(F.col("place.shard").alias("shard"), "wish").agg(F.sum("place.here").alias("count")).collect()
+        wishes.select("wish", (F.size("places") > 1).alias("divided"), F.explode("places").alias("place"))
+        .groupBy(F.col("place.shard").alias("shard"), "wish").agg(
+            F.sum("place.here").alias("count"),
+            F.count_if(F.col("divided") & (F.col("wish") == F.col("place.shard"))).alias("divided"),
+        ).collect()
     )
-    sizes, wished = list(single_sizes), {}
-    for shard, wish, count in flows:
+    sizes, wished = list(other_sizes), {}
+    for shard, wish, count, _ in flows:
         sizes[shard] += count
         if shard != wish:
             wished[shard, wish] = count
     shares = granted_shares(wished, sizes, most)
-    whole = _fraction("h", "g", F.lit(turn))
-    partial = _fraction("h", "g", "doc_id", F.lit(turn))
-    luck = F.when(F.col("members") > most * LARGE_SHARE, partial).otherwise(whole)
+    luck = _fraction("h", "g", F.lit(turn))
     moved = F.when(luck < _pick(shares, F.col("wish")), F.col("wish")).otherwise(F.col("shard"))
     joined = linked.join(wishes.select("h", "g", "wish"), ["h", "g"])
-    return joined.withColumn("shard", moved.cast("int")).drop("wish")
+    return joined.withColumn("shard", moved.cast("int")).drop("wish"), sum(row["divided"] for row in flows)
 
 
 def _numbered(batches):
@@ -157,25 +183,66 @@ def shard_documents(documents: DataFrame, shards: int = SHARDS, rounds: int = RO
         F.xxhash64(text).alias("h"), F.xxhash64(F.lit("second"), text).alias("g"),
     ).write.parquet(f"{folder}/nodes")
     nodes = spark.read.schema(_NODE).parquet(f"{folder}/nodes")
-    groups = nodes.groupBy("h", "g").agg(F.count(F.lit(1)).alias("members"))
-    first = F.pmod(F.xxhash64("doc_id", "h"), F.lit(shards)).cast("int").alias("shard")
-    kinds = f"{_NODE}, members long, shard int"
-    nodes.join(groups, ["h", "g"]).select(*nodes.columns, "members", first).write.parquet(f"{folder}/round0")
+    total = nodes.count()
+    groups = nodes.groupBy("h", "g").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    aims = [total // shards + (shard < total % shards) for shard in range(shards)]
+    limit = max(1, int(aims[0] * LARGE_SHARE)) if total else 1
+    # At most shards / LARGE_SHARE groups of two numbers.
+    large = groups.filter(F.col("members") > limit).orderBy(F.desc("members"), "h", "g").collect()
+    room = list(aims)
+    placed_large = place_large([((row["h"], row["g"]), row["members"]) for row in large], room)
+    parts = [
+        (row["h"], row["g"], [(shard, (sum(count for _, count in where[:place + 1])) / row["members"]) for place, (shard, _) in enumerate(where)])
+        for row, where in zip(large, placed_large, strict=True)
+    ]
+    named = spark.createDataFrame(parts, "h long, g long, parts array<struct<shard: int, upto: double>>")
+    # As many rows as there are large groups.
+    found = nodes.join(F.broadcast(named), ["h", "g"], "left")
+    own = _fraction("doc_id", "size", "h")
+    part = F.filter("parts", lambda each: own < each["upto"])[0]["shard"]
+    in_large = found.filter("parts IS NOT NULL").select(
+        *nodes.columns, F.lit(False).alias("single"),
+        F.coalesce(part, F.element_at("parts", -1)["shard"]).cast("int").alias("shard"),
+    )
+    # Other documents start in proportion to the room.
+    steps, free = [], max(1, sum(room))
+    for shard in range(shards):
+        steps.append(sum(room[:shard + 1]) / free)
+    first = reduce(
+        lambda later, shard: F.when(_fraction("doc_id", "h") < steps[shard], F.lit(shard)).otherwise(later),
+        range(shards - 2, -1, -1), F.lit(max(0, shards - 1)),
+    )
+    small = groups.filter(F.col("members") <= limit)
+    kinds = f"{_NODE}, single boolean, shard int"
+    rest = found.filter("parts IS NULL").drop("parts").join(small, ["h", "g"], "left")
+    rest.select(*nodes.columns, F.col("members").isNull().alias("single"), first.cast("int").alias("shard")).write.parquet(
+        f"{folder}/round0",
+    )
     start = spark.read.schema(kinds).parquet(f"{folder}/round0")
-    single_sizes, total = [0] * shards, 0
-    for shard, single, count in start.groupBy("shard", (F.col("members") == 1).alias("single")).count().collect():
-        total += count
-        if single:
-            single_sizes[shard] += count
-    linked = start.filter("members > 1")
+    other_sizes = [aim - left for aim, left in zip(aims, room, strict=True)]
+    for shard, count in start.filter("single").groupBy("shard").count().collect():
+        other_sizes[shard] += count
+    linked, divided = start.filter("NOT single"), None
     for turn in range(1, rounds + 1):
-        path = f"{folder}/round{turn}"
-        moved = _propagate(linked, single_sizes, int(-(-total // shards) * (1 + SLACK)), turn)
-        moved.select(*start.columns).write.parquet(path)
-        linked = spark.read.schema(kinds).parquet(path)
-    placed = start.filter("members = 1").unionByName(linked)
-    settled = settle(placed.withColumn("single", F.col("members") == 1).drop("members"), shards, folder)
+        moved, before = _propagate(linked, other_sizes, int(-(-total // shards) * (1 + SLACK)), turn)
+        if not before or divided is not None and before >= divided:
+            break
+        divided = before
+        moved.select(*start.columns).write.parquet(f"{folder}/round{turn}")
+        linked = spark.read.schema(kinds).parquet(f"{folder}/round{turn}")
+    placed = start.filter("single").unionByName(linked).unionByName(in_large)
+    settled = settle(placed, shards, folder)
     return settled.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def kept_edges(sharded: DataFrame, group: Column) -> tuple[int, int]:
+    """Of the pairs of documents with one `group`, those in one shard, and all."""
+    counts = sharded.groupBy(group.alias("group"), "shard").agg(F.count(F.lit(1)).alias("here"))
+    pairs = counts.groupBy("group").agg(
+        F.sum(F.expr("here * (here - 1) / 2")).alias("kept"), F.expr("sum(here) * (sum(here) - 1) / 2").alias("all"),
+    )
+    kept, total = pairs.agg(F.sum("kept"), F.sum("all")).first()
+    return int(kept or 0), int(total or 0)
