@@ -9,8 +9,9 @@ looking into a few bits, without a join.
 
 A filter is an array of 4 KiB bitmaps that reaches the tasks as a scalar subquery. Its size
 follows from the number of keys; where a cascade would exceed `most_bytes`, the keys are
-dealt by hash into as many key shards as needed, each with a cascade of its own, and the table
-is judged shard by shard.
+dealt by hash into as many key shards as needed, each with a cascade of its own, and so are the
+pages, once; each shard reads its own. The numbers of listed and of other keys say how many
+shards the first two levels, the largest, need.
 
 Null urls and urls without "://" have empty host and path and fit no rule. An empty table
 gives no rows. A url that no rule fits is allowed, since its key is not listed.
@@ -18,6 +19,7 @@ gives no rows. A url that no rule fits is allowed, since its key is not listed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -33,6 +35,9 @@ ALLOW, BLOCK = "allow", "block"
 #: Bits of one bitmap of Spark's bitmap functions (fixed value).
 BITMAP_BITS = 32768
 
+#: Bits a key of the levels behind the first.
+FURTHER_BITS = 6
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -130,7 +135,7 @@ class Cascade:
         return answer
 
 
-def build_cascade(universe: DataFrame, folder: str, first_bits: int = 10, further_bits: int = 6) -> Cascade:
+def build_cascade(universe: DataFrame, folder: str, first_bits: int = 10, further_bits: int = FURTHER_BITS) -> Cascade:
     """Cascade of a universe with distinct `key` and boolean `listed`.
 
     Each level has `first_bits` (later `further_bits`) bits a key and ln 2 times as many hashes.
@@ -170,13 +175,24 @@ def judge_urls(
         .write.parquet(f"{folder}/universe")
     )
     universe = spark.read.schema("key string, listed boolean").parquet(f"{folder}/universe")
-    listed = universe.filter("listed").count()
-    shards = max(1, -(-listed * first_bits // (8 * most_bytes)))
+    listed, every = universe.agg(F.count_if("listed"), F.count(F.lit(1))).first()
+    # The first level holds the listed keys, the second one the others that pass it by chance;
+    # further levels are smaller than the one before the last.
+    passing = (every - listed) * 0.5 ** (first_bits * 0.693)
+    most_bits = max(listed * first_bits, passing * FURTHER_BITS)
+    shards = max(1, math.ceil(most_bits / (8 * most_bytes)))
+    number = F.pmod(F.xxhash64("key", F.lit("shard")), F.lit(shards)).cast("int")
+    if shards > 1:
+        # Dealt once, so that each shard reads its own pages and keys alone.
+        keyed.withColumn("shard", number).write.partitionBy("shard").parquet(f"{folder}/pages")
+        universe.withColumn("shard", number).write.partitionBy("shard").parquet(f"{folder}/keys")
+        keyed = spark.read.schema("page_id long, host string, path string, key string, shard int").parquet(f"{folder}/pages")
+        universe = spark.read.schema("key string, listed boolean, shard int").parquet(f"{folder}/keys")
     judged = []
     for shard in range(shards):
-        ours = F.pmod(F.xxhash64("key", F.lit("shard")), F.lit(shards)) == shard
+        ours = F.col("shard") == shard if shards > 1 else F.lit(True)
         cascade = build_cascade(universe.filter(ours), f"{folder}/shard{shard}", first_bits)
-        rows = keyed.filter(ours) if shards > 1 else keyed
+        rows = keyed.filter(ours)
         judged.append(
             rows.select(
                 "page_id", "host", "path", rule.alias("rule"),
