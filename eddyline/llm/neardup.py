@@ -15,8 +15,10 @@ Where some fail, as among documents made from one template, a bucket's pairs are
 The nodes of such open buckets are joined exactly, by prefixes: shingles have one order, about
 the rarest first, and two sets of similarity t or more share one of their first n - ceil(t n) + 1
 shingles. Pairs of one class need no comparing, so in the group of a prefix shingle only the
-nodes outside its largest class are held against the others, at most `AT_ONCE` of them at a
-time, round by round until none is left. Links give classes by spreading the least label.
+nodes outside its largest class are held against the others, about `AT_ONCE` of them at a
+time, round by round until none is left. A group's other members are dealt over as many blocks
+as their sizes ask for, and in a block common shingles are counted for all at once, so no pair
+travels. Links give classes by spreading the least label.
 Every link is verified. A pair of similarity 0.8 shares no band at all with probability 3e-6; one
 that shares a bucket is found whatever else is in it.
 
@@ -32,8 +34,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.llm.batches import binary_array, map_batches, only, slices, spread, text_bytes
@@ -46,7 +49,14 @@ BANDS = 32
 BAND_ROWS = 5
 
 #: Nodes of a prefix shingle's group that are held against the others in one round.
-AT_ONCE = 64
+AT_ONCE = 256
+
+#: Shingles of a block of members; and of a set from which on it counts as several of `AT_ONCE`.
+BLOCK_SHINGLES = 1 << 20
+LARGE_SET = 4096
+
+#: Common shingles that are counted in one step.
+COUNTED = 1 << 21
 
 #: Counters for the order of shingles, whatever their number.
 COUNTERS = 1 << 20
@@ -217,6 +227,34 @@ def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, least: float) -> Iterat
         yield [np.concatenate(tokens).astype(np.int64), np.concatenate(nodes), np.concatenate(sizes)]
 
 
+def _block_links(least: float):
+    """Function for cogrouped pandas frames: pairs of leaders and members that are similar."""
+
+    def compare(leaders: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        found: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
+        if len(leaders) and len(members):
+            sets = [np.frombuffer(packed, "<u4") for packed in leaders["shingles"]]
+            count, sizes = len(sets), np.fromiter(map(len, sets), np.int64, len(sets))
+            tokens = np.concatenate(sets)
+            order = np.argsort(tokens, kind="stable")
+            tokens, owners = tokens[order], np.repeat(np.arange(count), sizes)[order]
+            names, labels = leaders["node"].to_numpy(), leaders["label"].to_numpy()
+            for packed, node, label in zip(members["shingles"], members["node"], members["label"], strict=True):
+                own = np.frombuffer(packed, "<u4")
+                shared = np.zeros(count, np.int64)
+                for start in range(0, len(own), max(1, COUNTED // count)):
+                    some = own[start:start + max(1, COUNTED // count)]
+                    first, past = np.searchsorted(tokens, some), np.searchsorted(tokens, some, "right")
+                    shared += np.bincount(owners[spread(first, past - first)], minlength=count)
+                near = (shared >= least * (sizes + len(own) - shared) - 1e-9) & (labels != label)
+                if near.any():
+                    found.append(np.stack([names[near], np.full(int(near.sum()), node)]))
+        pairs = np.concatenate(found, axis=1)
+        return pd.DataFrame({"leader": pairs[0], "node": pairs[1]})
+
+    return compare
+
+
 def exact_links(sets: DataFrame, links: DataFrame, folder: str, least: float = SIMILARITY, at_once: int = AT_ONCE) -> DataFrame:
     """The links, and further ones, so that similar `sets` (node and shingles) are of one class."""
     spark = sets.sparkSession
@@ -227,37 +265,39 @@ def exact_links(sets: DataFrame, links: DataFrame, folder: str, least: float = S
     counts[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
     kinds = "token long, node long, size long"
     map_batches(sets, kinds, _prefixes, counts, least).write.parquet(f"{folder}/rows0")
-    turn = 0
+    turn, labels = 0, least_labels(links, f"{folder}/turn0")
     while True:
         rows = spark.read.schema(kinds).parquet(f"{folder}/rows{turn}")
-        labels = least_labels(links, f"{folder}/turn{turn}")
         named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        of_label = named.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
+        of_label = named.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
         groups = of_label.groupBy("token").agg(
             F.max_by("label", "n").alias("main"), (F.sum("n") - F.max("n")).alias("outside"),
+            F.ceil(F.sum("shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"),
         ).filter("outside > 0")
-        turned = F.pmod(F.xxhash64("token", "node", F.lit(turn)), F.col("outside"))
+        turned = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("outside") * F.greatest(F.lit(1), F.ceil(F.col("size") / LARGE_SET)))
         leads = (F.col("label") != F.col("main")) & (turned < at_once)
-        named.join(groups, "token").withColumn("leads", leads).write.parquet(f"{folder}/marked{turn}")
-        marked = spark.read.schema(
-            f"{kinds}, label long, main long, outside long, leads boolean",
-        ).parquet(f"{folder}/marked{turn}")
-        leading = marked.filter("leads").select(
-            "token", F.col("node").alias("leader"), F.col("size").alias("leader_size"), F.col("label").alias("leader_label"),
-        )
-        near = (F.least("size", "leader_size") >= least * F.greatest("size", "leader_size") - 1e-9) & (
-            F.col("label") != F.col("leader_label")
-        )
-        once = ~F.col("leads") | (F.col("node") < F.col("leader"))
-        pairs = marked.join(leading, "token").filter(near & once)
-        pairs = pairs.groupBy("leader", "node").agg(F.count(F.lit(1)).alias("tokens")).select("leader", "node")
-        judged = _verified(pairs, sets, f"{folder}/judged{turn}", least)
-        links = links.unionByName(judged.filter("similar").select("leader", "node"))
-        rest = marked.filter((F.col("outside") > at_once) & ~F.col("leads")).select("token", "node", "size")
-        turn += 1
-        rest.write.parquet(f"{folder}/rows{turn}")
-        if spark.read.schema(kinds).parquet(f"{folder}/rows{turn}").isEmpty():
+        marked_kinds = f"{kinds}, label long, main long, outside long, blocks int, leads boolean"
+        named.join(groups, "token").withColumn("leads", leads).select(
+            "token", "node", "size", "label", "main", "outside", "blocks", "leads",
+        ).write.parquet(f"{folder}/marked{turn}")
+        marked = spark.read.schema(marked_kinds).parquet(f"{folder}/marked{turn}")
+        if marked.isEmpty():
             return links
+        whole = marked.join(sets, "node")
+        members = whole.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
+        leading = whole.filter("leads").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        columns = ["token", "block", "node", "label", "shingles"]
+        # Columns of their own, since both sides come from the same rows.
+        sides = [side.select(*[F.col(name).alias(name) for name in columns]).toDF(*columns) for side in (leading, members)]
+        sides[0].groupBy("token", "block").cogroup(sides[1].groupBy("token", "block")).applyInPandas(
+            _block_links(least), "leader long, node long",
+        ).write.parquet(f"{folder}/found{turn}")
+        found = spark.read.schema("leader long, node long").parquet(f"{folder}/found{turn}")
+        turn += 1
+        if not found.isEmpty():
+            links = links.unionByName(found.distinct())
+            labels = least_labels(links, f"{folder}/turn{turn}")
+        marked.filter("NOT leads").select(*rows.columns).write.parquet(f"{folder}/rows{turn}")
 
 
 def least_labels(links: DataFrame, folder: str) -> DataFrame:
