@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 reread as the next stage's docs. All but the last return the columns of `documents`.
+
+Null and empty texts go through all stages as empty ones; of all of them near-dedup keeps one.
+Texts of any length are handled whole. Rows with null or repeated ids are documents of their own,
+whatever their ids; of rows equal in all columns one stays. Further columns are kept as they are,
+also where their names are those of the operators' own. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -17,12 +22,12 @@ ORACLE_SQL = None
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go; without ratings all stay."""
     return quality.select_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates stays."""
+    """One document of each class of near-duplicates stays: that of the least doc_id, null last."""
     return neardup.keep_one(docs)
 
 
