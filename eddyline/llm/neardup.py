@@ -18,7 +18,7 @@ shingles. Pairs of one class need no comparing, so in the group of a prefix shin
 nodes outside its largest class are held against the others, about `AT_ONCE` of them at a
 time, round by round until none is left. A group's other members are dealt over as many blocks
 as their sizes ask for, and in a block common shingles are counted for all at once, so no pair
-travels. Links give classes by spreading the least label.
+travels; shingles that the same nodes share make one group. Links give classes by spreading the least label.
 Every link is verified. A pair of similarity 0.8 shares no band at all with probability 3e-6; one
 that shares a bucket is found whatever else is in it.
 
@@ -203,7 +203,10 @@ def verified_links(described: DataFrame, folder: str, least: float = SIMILARITY)
     opened = spark.read.schema("node long").parquet(f"{folder}/open")
     if opened.isEmpty():
         return links.distinct()
-    return exact_links(sets.join(opened, "node", "left_semi"), links, f"{folder}/exact", least).distinct()
+    # Filtered before they are combined, so that other sets are not shuffled again.
+    of_open = described.filter("size > 0").join(opened, "node", "left_semi")
+    of_open = of_open.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return exact_links(of_open, links, f"{folder}/exact", least).distinct()
 
 
 def _counters(batch: pa.RecordBatch) -> Iterator[list]:
@@ -269,11 +272,17 @@ def exact_links(sets: DataFrame, links: DataFrame, folder: str, least: float = S
     while True:
         rows = spark.read.schema(kinds).parquet(f"{folder}/rows{turn}")
         named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        of_label = named.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
-        groups = of_label.groupBy("token").agg(
-            F.max_by("label", "n").alias("main"), (F.sum("n") - F.max("n")).alias("outside"),
+        names = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(name) for seed, name in enumerate(("one", "two"))]
+        of_label = named.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"), *names)
+        of_token = of_label.groupBy("token").agg(
+            F.max_by("label", "n").alias("main"), (F.sum("n") - F.max("n")).alias("outside"), F.sum("n").alias("n"),
             F.ceil(F.sum("shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"),
+            F.bit_xor("one").alias("one"), F.bit_xor("two").alias("two"),
         ).filter("outside > 0")
+        # Shingles that the same nodes share make one group.
+        groups = of_token.groupBy("one", "two", "n").agg(
+            F.min(F.struct("token", "main", "outside", "blocks")).alias("group"),
+        ).select("group.*")
         turned = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("outside") * F.greatest(F.lit(1), F.ceil(F.col("size") / LARGE_SET)))
         leads = (F.col("label") != F.col("main")) & (turned < at_once)
         marked_kinds = f"{kinds}, label long, main long, outside long, blocks int, leads boolean"
