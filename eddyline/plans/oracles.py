@@ -300,7 +300,7 @@ def _arriving(delay_ms: int) -> str:
     return f"""
     arriving AS (
         SELECT *, epoch_us(ts) AS t,
-               floor((epoch_us(ts) + event_id * 7919 % 1000 * 172800000) / 432000000000)::BIGINT AS batch
+               floor((epoch_us(ts) + event_id * 7919 % 1000 * 172800000) / 864000000000)::BIGINT AS batch
         FROM events
     ), marks AS (
         SELECT batch, coalesce(

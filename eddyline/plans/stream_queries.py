@@ -9,10 +9,9 @@ themselves stay in state and never reach the result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from datetime import timedelta
 from functools import reduce, wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -47,16 +46,11 @@ Writer = Callable[[DataFrame, str], DataStreamWriter]
 
 def _closing_rows(table: DataFrame) -> DataFrame:
     """One row of every event type, a year after the last event, of no real user."""
-    end = table.agg(F.max("ts")).first()[0]
-    if end is None:
-        return table.limit(0)
-    filled = {
-        "event_id": F.max("event_id"),
-        "ts": F.lit(end + timedelta(days=365)),
-        "user_id": F.lit(-1),
-    }
-    closing = table.groupBy("event_type").agg(*[column.alias(name) for name, column in filled.items()])
-    return closing.select(
+    latest = table.groupBy("event_type").agg(F.max("event_id").alias("event_id"), F.max("ts").alias("latest"))
+    # As many rows as there are event types.
+    end = F.max("latest").over(Window.partitionBy(F.lit(0)))
+    closing = latest.select("event_type", "event_id", (end + F.expr("INTERVAL 365 DAYS")).alias("ts"), F.lit(-1).alias("user_id"))
+    return closing.filter(F.col("ts").isNotNull()).select(
         *[
             (F.col(name) if name in closing.columns else F.lit(None))
             .cast(table.schema[name].dataType).alias(name)
@@ -255,14 +249,14 @@ def stream_login_success_view(events):
 # Rows that arrive batch by batch, in order or not
 
 def by_time() -> Column:
-    """Batches hold the rows of five days each."""
-    return F.floor(micros("ts") / to_micros("5 days")).cast("int")
+    """Batches hold the rows of ten days each."""
+    return F.floor(micros("ts") / to_micros("10 days")).cast("int")
 
 
 def disordered() -> Column:
     """As `by_time`, but a row arrives up to two days after its time, depending on its number."""
     delay = F.pmod(F.col("event_id") * 7919, F.lit(1000)) * (to_micros("2 days") // 1000)
-    return F.floor((micros("ts") + delay) / to_micros("5 days")).cast("int")
+    return F.floor((micros("ts") + delay) / to_micros("10 days")).cast("int")
 
 
 @streamed(append_files, arrival=by_time)
