@@ -20,7 +20,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.internal import InternalFunction
-from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from eddyline.functions.report import ReportLayout, report_text
@@ -28,23 +29,23 @@ from eddyline.functions.time import Duration, floor_div, from_micros, micros, to
 from eddyline.operators.lifecycle import message
 from eddyline.operators.ranking import top_n
 from eddyline.operators.reconcile import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
-from eddyline.operators.slices import SLICE, slice_micros
+from eddyline.operators.slices import slice_micros
 from eddyline.operators.windows import window_count, window_sum
 from eddyline.streaming.processors import (
+    BUCKET_SUMMARY_SCHEMA,
     FIRST,
     OUTCOMES_SCHEMA,
     OUTPUT_SCHEMA,
     SECOND,
-    SUMMARY_SCHEMA,
-    Compose,
+    Buckets,
     FollowedBy,
     InOrder,
     Lifecycle,
     Match,
     Sequence,
     Silence,
-    Slices,
     StrictNext,
+    summaries,
 )
 from eddyline.streaming.sinks import BatchFunction
 
@@ -122,6 +123,10 @@ JSON_TIMES = {
 }
 
 
+#: Keys whose held rows lie together in state. More buckets are smaller, but cost more calls.
+KEY_BUCKETS = 1024
+
+
 def _rows(events: DataFrame, keys: list[str], time: str, seq: str | None, kind: Column,
           carry: list[str]) -> DataFrame:
     """Rows with a time and a whole key, as the processors read them; others are left out."""
@@ -138,27 +143,41 @@ def _rows(events: DataFrame, keys: list[str], time: str, seq: str | None, kind:
 
 
 def _processed(
-    rows: DataFrame, keys: list[str], sequence: Sequence, split: bool, width: Duration | None,
+    rows: DataFrame, keys: list[str], time: str, sequence: Sequence, split: bool, width: Duration | None,
+    summarised: bool = True, buckets: int = KEY_BUCKETS,
 ) -> DataFrame:
-    """The outcomes of a sequence: of whole keys, or composed of slices `width` long."""
-    kinds = dict(rows.dtypes)
-    named = [f"`{name}` {kinds[name]}" for name in keys]
-
-    def outcomes(frame: DataFrame, by: list[str], processor: StatefulProcessor, schema: str, time: str = "") -> DataFrame:
-        return frame.groupBy(*by).transformWithStateInPandas(
-            processor, outputStructType=schema, outputMode="Append", timeMode="EventTime", eventTimeColumnName=time,
-        )
+    """The outcomes of a sequence: of whole keys, or composed of slices `width` long.
 
+    The rows of a key and slice are gathered by an aggregation; finished slices then meet what
+    their keys hold, a bucket of keys at a time. Unless `summarised`, slices arrive row by row.
+    """
     span = slice_micros(sequence.within, width)
     if not split:
-        return outcomes(rows, keys, InOrder(keys, sequence, span), ", ".join([*named, OUTPUT_SCHEMA]))
-    by_slice = [*keys, SLICE]
-    sliced = rows.withColumn(SLICE, floor_div(F.col("t"), span))
-    summaries = outcomes(
-        sliced, by_slice, Slices(by_slice, sequence, span), ", ".join([*named, SUMMARY_SCHEMA]), "closed_at",
+        kinds = dict(rows.dtypes)
+        named = [f"`{name}` {kinds[name]}" for name in keys]
+        return rows.groupBy(*keys).transformWithStateInPandas(
+            InOrder(keys, sequence, span), outputStructType=", ".join([*named, OUTPUT_SCHEMA]),
+            outputMode="Append", timeMode="EventTime",
+        )
+    gathered = rows.groupBy(*keys, F.window(time, f"{span} microseconds").alias("_window")).agg(
+        F.collect_list(F.struct("t", "seq", "kind", "payload")).alias("rows"),
+    ).select(
+        F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket"),
+        F.to_json(F.struct(*keys), JSON_TIMES).alias("key"),
+        floor_div(micros("_window.start"), span).alias("slice"), "rows",
+    )
+    if summarised:
+        parts = gathered.mapInArrow(summaries(sequence), BUCKET_SUMMARY_SCHEMA)
+    else:
+        parts = gathered.withColumn("rows", F.to_json("rows", {"ignoreNullFields": "false"}))
+    packed = parts.groupBy("bucket").transformWithStateInPandas(
+        Buckets(sequence, span, summarised), outputStructType="key string, outcomes string",
+        outputMode="Append", timeMode="EventTime",
+    )
+    whole = F.from_json("key", StructType([rows.schema[name] for name in keys]), JSON_TIMES)
+    return packed.select(
+        *[whole[name].alias(name) for name in keys], F.inline(F.from_json("outcomes", OUTCOMES_SCHEMA)),
     )
-    packed = outcomes(summaries, keys, Compose(keys, sequence, span), ", ".join([*named, "outcomes string"]))
-    return packed.select(*keys, F.inline(F.from_json("outcomes", OUTCOMES_SCHEMA)))
 
 
 def _part(side: str, time: str, events: DataFrame, carry: list[str]) -> Column:
@@ -183,7 +202,7 @@ def strict_next(
 ) -> DataFrame:
     """`patterns.strict_next` on a stream."""
     rows = _rows(events, keys, time, seq, _flag(first, FIRST) + _flag(second, SECOND), carry)
-    found = _processed(rows, keys, StrictNext(to_micros(within)), split, width)
+    found = _processed(rows, keys, time, StrictNext(to_micros(within)), split, width)
     return found.select(
         *keys,
         _part("first", time, events, carry).alias("first"),
@@ -199,7 +218,7 @@ def followed_by(
     """`patterns.followed_by` on a stream."""
     relevant = events.filter(first | second)
     rows = _rows(relevant, keys, time, seq, _flag(first, FIRST) + _flag(second, SECOND), carry)
-    found = _processed(rows, keys, FollowedBy(to_micros(within)), split, width)
+    found = _processed(rows, keys, time, FollowedBy(to_micros(within)), split, width)
     return found.select(
         *keys, "tag",
         _part("first", time, events, carry).alias("first"),
@@ -214,13 +233,15 @@ def lifecycle(
 ) -> DataFrame:
     """`lifecycle.lifecycle_strict` on a stream.
 
-    With `legacy_timers` keys are not split: timers left behind tie a slice to all that came
-    within the bound before.
+    With `legacy_timers` slices are not summarised: timers left behind tie a slice to all that
+    came within the bound before. A key's rows then come together slice by slice.
     """
     relevant = events.filter(created | paid)
     kind = F.when(created, Lifecycle.CREATED).otherwise(Lifecycle.PAID)
     rows = _rows(relevant, keys, time, seq, kind, [])
-    found = _processed(rows, keys, Lifecycle(to_micros(within), legacy_timers), split and not legacy_timers, width)
+    found = _processed(
+        rows, keys, time, Lifecycle(to_micros(within), legacy_timers), split, width, summarised=not legacy_timers,
+    )
     return found.select(
         *keys, "tag", from_micros("first_t").alias("emitted_at"), message(F.col("tag")).alias("result_msg"),
     )
@@ -238,7 +259,7 @@ def match(
     both = _rows(left, keys, time, seq, F.lit(0), left_columns).unionByName(
         _rows(right, keys, time, seq, F.lit(1), right_columns),
     )
-    found = _processed(both, keys, Match(to_micros(within), keep_replaced), split, width)
+    found = _processed(both, keys, time, Match(to_micros(within), keep_replaced), split, width)
     return found.select(
         *keys, "tag",
         _part("first", time, left, left_columns).alias("left"),

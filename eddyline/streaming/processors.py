@@ -13,6 +13,12 @@ order.
   out. `Compose` sees one summary per slice, lets what the key holds meet the slice's first row,
   and picks the way that follows from it. All rows of a slice but its first go past it unread.
 
+`InOrder`, `Slices` and `Compose` speak to the state store several times per key, which is too
+slow for many keys. `Buckets` takes `Compose`'s part for many keys at once: a window aggregation
+gathers the rows of a key and slice, `summaries` works out finished slices batch by batch, and
+what the keys of one bucket hold is read and written together. That happens when slices end, and
+a bucket holds nothing older than the bound, which is at most a few dozen slices.
+
 A key has one timer at a time: a new one that comes earlier replaces it.
 """
 
@@ -20,11 +26,12 @@ from __future__ import annotations
 
 import json
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -42,6 +49,10 @@ SUMMARY_SCHEMA = (
     "slice long, closed_at timestamp, entry string, always string, "
     "kept string, cleared string, held_kept string, held_cleared string"
 )
+BUCKET_SUMMARY_SCHEMA = (
+    "bucket int, key string, slice long, "
+    "entry string, always string, kept string, cleared string, held_kept string, held_cleared string"
+)
 
 FIRST, SECOND = 1, 2
 
@@ -146,6 +157,17 @@ def _flat(one: Outcome) -> tuple:
 
 OUTPUT_NAMES = ["tag", "first_t", "first", "second_t", "second"]
 
+SUMMARY_NAMES = ["entry", "always", "kept", "cleared", "held_kept", "held_cleared"]
+
+
+def _summary_texts(summary: Summary) -> tuple:
+    """A summary as columns of text."""
+    return (
+        json.dumps(summary.entry) if summary.entry else None, _packed(summary.always),
+        _packed(summary.found[True]), _packed(summary.found[False]),
+        json.dumps(summary.held[True]), json.dumps(summary.held[False]),
+    )
+
 
 def _rows_of(frame: pd.DataFrame) -> list[tuple]:
     return list(zip(*[frame[name].astype(object).tolist() for name in Row._fields], strict=True))
@@ -280,19 +302,23 @@ class Slices(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         rows = sorted([Row(*values) for values in self.rows.get()], key=self.sequence.order)
         self.rows.clear()
-        summary = self.sequence.summarise(rows)
+        summary = _summary_texts(self.sequence.summarise(rows))
         # The watermark reaches the timer only now, so this time is beyond the one before.
         closed = pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs() + 1, unit="ms", tz="UTC")
         yield pd.DataFrame({
             **{name: [value] for name, value in zip(self.keys[:-1], key, strict=False)},
             "slice": [key[-1]], "closed_at": [closed],
-            "entry": [json.dumps(summary.entry) if summary.entry else None],
-            "always": [_packed(summary.always)],
-            "kept": [_packed(summary.found[True])], "cleared": [_packed(summary.found[False])],
-            "held_kept": [json.dumps(summary.held[True])], "held_cleared": [json.dumps(summary.held[False])],
+            **{name: [text] for name, text in zip(SUMMARY_NAMES, summary, strict=True)},
         })
 
 
+def _past_slice(sequence: Sequence, held: list[Row], summary) -> tuple[list[Row], list[str]]:
+    """What is held after a slice, and the packed outcomes up to its end."""
+    way, beside, found = sequence.enter(held, Row(*json.loads(summary.entry)) if summary.entry else None)
+    left = _loaded(summary.held_kept if way else summary.held_cleared)
+    return beside + left, [_packed(found), summary.always, summary.kept if way else summary.cleared]
+
+
 class Compose(StatefulProcessor):
     """The outcomes of a key from the summaries of its slices, as JSON arrays of outcomes."""
 
@@ -333,9 +359,8 @@ class Compose(StatefulProcessor):
         if alarm is not None:
             self.handle.deleteTimer(alarm[0])
         for one in pd.concat(list(rows)).sort_values("slice").itertuples(index=False):
-            way, beside, found = self.sequence.enter(held, Row(*json.loads(one.entry)) if one.entry else None)
-            held = beside + _loaded(one.held_kept if way else one.held_cleared)
-            texts += [_packed(found), one.always, one.kept if way else one.cleared]
+            held, more = _past_slice(self.sequence, held, one)
+            texts += more
         self._keep(held)
         texts = [text for text in texts if text]
         if texts:
@@ -351,6 +376,102 @@ class Compose(StatefulProcessor):
             yield self._frame(key, [_packed(expired)])
 
 
+def summaries(sequence: Sequence) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For `mapInArrow`: the summary of each finished slice, whose rows come as the list `rows`."""
+    names = ["bucket", "key", "slice"]
+
+    def summarised(batches):
+        for batch in batches:
+            texts = []
+            for rows in batch.column("rows").to_pylist():
+                ordered = sorted([Row(**row) for row in rows], key=sequence.order)
+                texts.append(_summary_texts(sequence.summarise(ordered)))
+            if texts:
+                columns = [pa.array(column, pa.string()) for column in zip(*texts, strict=True)]
+                yield pa.RecordBatch.from_arrays([*map(batch.column, names), *columns], [*names, *SUMMARY_NAMES])
+
+    return summarised
+
+
+class Buckets(StatefulProcessor):
+    """The outcomes of a bucket of keys from their finished slices, as JSON arrays of outcomes.
+
+    Slices come as summaries or, unless `summarised`, as JSON arrays of their rows. All slices
+    that the watermark has passed come in the micro-batch in which it does, so what is due in
+    them expires at once; what is due later waits for a timer at the end of its slice.
+    """
+
+    def __init__(self, sequence: Sequence, span: int, summarised: bool = True):
+        self.sequence = sequence
+        self.span = span
+        self.past = self._past_summary if summarised else self._past_rows
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "rows string, alarm long")
+
+    def close(self) -> None:
+        pass
+
+    def _past_summary(self, held: list[Row], one) -> tuple[list[Row], list[str]]:
+        return _past_slice(self.sequence, held, one)
+
+    def _past_rows(self, held: list[Row], one) -> tuple[list[Row], list[str]]:
+        outcomes = []
+        for row in sorted([Row(**row) for row in json.loads(one.rows)], key=self.sequence.order):
+            held, found = self.sequence.advance(held, row)
+            outcomes += found
+        return held, [_packed(outcomes)]
+
+    def _known(self) -> tuple[dict[str, list[Row]], int | None]:
+        known = self.held.get()
+        if known is None:
+            return {}, None
+        rows, alarm = known
+        return {key: [Row(*row) for row in held] for key, held in json.loads(rows).items()}, alarm
+
+    def _settled(
+        self, holding: dict[str, list[Row]], alarm: int | None, fired: int | None, watermark: int,
+        found: list[tuple[str, str]],
+    ) -> Iterator[pd.DataFrame]:
+        """Let go what is due in slices that are over, and keep the rest with a timer."""
+        until = watermark * 1000 // self.span * self.span
+        kept, due = {}, None
+        for key, held in holding.items():
+            held, expired = self.sequence.expire(held, until)
+            if expired:
+                found.append((key, _packed(expired)))
+            if held:
+                kept[key] = held
+                first = self.sequence.due(held)
+                due = first if due is None else min(due, first)
+        wanted = None if due is None else max(_wake_at((due // self.span + 1) * self.span), watermark + 1)
+        if alarm is not None and alarm not in (wanted, fired):
+            self.handle.deleteTimer(alarm)
+        if wanted is None:
+            self.held.clear()
+        else:
+            if wanted != alarm:
+                self.handle.registerTimer(wanted)
+            self.held.update((json.dumps(kept), wanted))
+        if found:
+            yield pd.DataFrame(found, columns=["key", "outcomes"], dtype=object)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        holding, alarm = self._known()
+        slices = [one for frame in rows for one in frame.itertuples(index=False)]
+        found = []
+        for one in sorted(slices, key=lambda one: one.slice):
+            holding[one.key], texts = self.past(holding.get(one.key, []), one)
+            found += [(one.key, text) for text in texts if text]
+        yield from self._settled(holding, alarm, None, timerValues.getCurrentWatermarkInMs(), found)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        holding, alarm = self._known()
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        yield from self._settled(holding, alarm, fired, timerValues.getCurrentWatermarkInMs(), [])
+
+
 class Silence(StatefulProcessor):
     """Reports a key after which nothing comes for `within`: its last row and when the time is up.
 
