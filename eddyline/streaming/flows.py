@@ -43,7 +43,6 @@ from eddyline.streaming.processors import (
     Lifecycle,
     Match,
     Sequence,
-    Silence,
     StrictNext,
     summaries,
 )
@@ -302,12 +301,14 @@ def match_join(
 def silence(events: DataFrame, keys: list[str], time: str, within: Duration) -> DataFrame:
     """Keys after whose row nothing comes for `within`: the keys, `last_seen` and `silent_at`.
 
-    For streams in order of time (`eventtime.ascending`).
+    That is a session of the key and its end; `processors.Silence` does the same with a timer a key.
     """
-    rows = _rows(events, keys, time, None, F.lit(0), [])
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([*[f"`{name}` {kinds[name]}" for name in keys], "last_t long, silent_t long"])
-    found = rows.groupBy(*keys).transformWithStateInPandas(
-        Silence(keys, to_micros(within)), outputStructType=schema, outputMode="Append", timeMode="EventTime",
+    present = reduce(and_, [F.col(name).isNotNull() for name in [time, *keys]])
+    reach = to_micros(within)
+    # Spark joins rows that are exactly the gap apart into one session.
+    gap = f"{reach - 1} microseconds"
+    sessions = events.filter(present).groupBy(*keys, F.session_window(time, gap).alias("_session"))
+    last = sessions.agg(F.max(micros(time)).alias("_last"))
+    return last.select(
+        *keys, from_micros("_last").alias("last_seen"), from_micros(F.col("_last") + reach).alias("silent_at"),
     )
-    return found.select(*keys, from_micros("last_t").alias("last_seen"), from_micros("silent_t").alias("silent_at"))
