@@ -14,14 +14,12 @@ works on whole keys and reports as soon as the watermark allows.
 from __future__ import annotations
 
 from functools import reduce
-from math import gcd
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.internal import InternalFunction
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from eddyline.functions.report import ReportLayout, report_text
@@ -30,7 +28,6 @@ from eddyline.operators.lifecycle import message
 from eddyline.operators.ranking import top_n
 from eddyline.operators.reconcile import MATCHED, UNMATCHED_PAYS, UNMATCHED_RECEIPTS
 from eddyline.operators.slices import slice_micros
-from eddyline.operators.windows import window_count, window_sum
 from eddyline.streaming.processors import (
     BUCKET_SUMMARY_SCHEMA,
     FIRST,
@@ -49,19 +46,43 @@ from eddyline.streaming.processors import (
 from eddyline.streaming.sinks import BatchFunction
 
 
+#: Counts that a sliding window's state keeps side by side, at most.
+_MOST_TOGETHER = 60
+
+
 def sliding_count(
-    events: DataFrame, keys: list[str], time: str, size: Duration, slide: Duration,
+    events: DataFrame, keys: list[str], time: str, size: Duration, slide: Duration, together: int | None = None,
 ) -> DataFrame:
     """`windows.sliding_count` on a stream: rows per sliding window and key.
 
-    Rows are counted per pane, as wide as size and slide allow, and panes are summed per window
-    by a second aggregation. A row updates one entry of state, not one per window that covers
-    it; what goes into the windows is a pane's final count, once.
+    Windows that start one after the other are counted side by side in one entry of state: a row
+    updates two to four entries, not one per window that covers it. They are reported when the
+    last of them is over. `together` says how many: by default half of those that cover a row, so
+    a window waits for at most half its size; with 1 each is reported by itself.
+    `slice` spans the windows of an entry and carries the watermark.
     """
-    pane = gcd(to_micros(size), to_micros(slide))
-    panes = window_count(events, keys, time, f"{pane} microseconds", window="pane")
-    timed = panes.withColumn("pane_time", F.window_time("pane"))
-    return window_sum(timed, keys, "count", "pane_time", size, slide, window="window")
+    width, step = to_micros(size), to_micros(slide)
+    if together is None:
+        together = min(max(width // step // 2, 1), _MOST_TOGETHER)
+    span = f"{width + (together - 1) * step} microseconds"
+    sliced = events.withColumn("slice", F.window(time, span, f"{together * step} microseconds"))
+    start, at = micros("slice.start"), micros(time)
+    starts = [start + place * step for place in range(together)]
+    inside = [F.sum(((at >= one) & (at < one + width)).cast("long")).alias(f"_{place}") for place, one in enumerate(starts)]
+    entries = [
+        F.struct(
+            F.struct(from_micros(one).alias("start"), from_micros(one + width).alias("end")).alias("window"),
+            F.col(f"_{place}").alias("count"),
+        )
+        for place, one in enumerate(starts)
+    ]
+    counted = sliced.groupBy("slice", *keys).agg(*inside)
+    return counted.select("slice", *keys, F.inline(F.array(*entries))).filter(F.col("count") > 0)
+
+
+def _by_window(counts: DataFrame, window: str) -> list[str]:
+    """What to group finished windows by: of several reported together, `slice` has the watermark."""
+    return ["slice", window] if "slice" in counts.columns else [window]
 
 
 def top_windows(
@@ -70,11 +91,12 @@ def top_windows(
     """The n highest counts of each finished window, ties to the smaller key, for any sink.
 
     `counts` is a windowed aggregate of a stream that still has its `window`. The ranking is an
-    aggregation as well: every task keeps n rows per window, and lists of n are merged.
+    aggregation as well: every task keeps n rows per window, and lists of n are merged. Where
+    windows are reported together (`sliding_count`), `slice` says which.
     """
     entry = F.struct((-F.col(count)).alias("minus"), F.col(key).alias("key"))
     least = InternalFunction.collect_top_k(entry, n, True)
-    ranked = counts.groupBy(window).agg(least.alias("top"))
+    ranked = counts.groupBy(*_by_window(counts, window)).agg(least.alias("top"))
     placed = ranked.select(F.col(window)["end"].alias("window_end"), F.posexplode("top").alias("place", "entry"))
     return placed.select(
         "window_end", F.col("entry.key").alias(key), (-F.col("entry.minus")).alias(count),
@@ -87,7 +109,7 @@ def top_reports(
 ) -> DataFrame:
     """The report of each finished window's n highest counts, one text per window."""
     entry = F.struct((-F.col(count)).alias("minus"), F.col(key).alias("key"))
-    ranked = counts.groupBy(window).agg(InternalFunction.collect_top_k(entry, n, True).alias("top"))
+    ranked = counts.groupBy(*_by_window(counts, window)).agg(InternalFunction.collect_top_k(entry, n, True).alias("top"))
     entries = F.transform(
         "top",
         lambda one, place: F.struct(
