@@ -34,6 +34,7 @@ from eddyline.streaming.sinks import (
     fan_out,
     read_latest,
     run_available,
+    state_partitions,
     write_batches,
 )
 
@@ -100,7 +101,8 @@ def streamed(
                     stream_table(spark, closing, table.schema),
                 )
                 arriving = arriving.withColumn("ts", F.col("ts").cast("timestamp"))
-                ran = run_available(writer(build(arriving), f"{base}/result"), f"{base}/checkpoint")
+                with state_partitions(spark):
+                    ran = run_available(writer(build(arriving), f"{base}/result"), f"{base}/checkpoint")
                 if ledger:
                     dropped.append((len(dropped), sum(drops.settled(ran).values())))
 
@@ -350,7 +352,8 @@ def stream_two_logs(spark: SparkSession, folder: str) -> DataFrame:
 
     def start() -> None:
         found = flows.match(log("pays"), log("receipts"), ["tx_id"], "ts", "5 minutes", ["user_id"], ["user_id"])
-        run_available(append_files(found, f"{base}/result"), f"{base}/checkpoint")
+        with state_partitions(spark):
+            run_available(append_files(found, f"{base}/result"), f"{base}/checkpoint")
 
     bounds = [spark.read.parquet(f"{base}/dealt/{name}").agg(F.min("arrival"), F.max("arrival")).first() for name in sides]
     known = [one for one in bounds if one[0] is not None]
@@ -389,7 +392,8 @@ def stream_order_log(spark: SparkSession, folder: str) -> DataFrame:
         found = flows.lifecycle(
             orders, ["order_id"], "event_time", kind == "create", kind == "pay", "24 hours", seq="position",
         )
-        run_available(append_files(found, f"{base}/result"), f"{base}/checkpoint")
+        with state_partitions(spark):
+            run_available(append_files(found, f"{base}/result"), f"{base}/checkpoint")
 
     start()
     write_order_log(_closing_rows(table), f"{base}/closing")

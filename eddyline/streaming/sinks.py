@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ from eddyline.session import shared_folder
 
 BatchFunction = Callable[[DataFrame, int], None]
 
+#: State partitions of a new stream per core of the cluster, and at least.
+STATE_PARTITIONS_PER_CORE = 3
+LEAST_STATE_PARTITIONS = 24
+
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """Where the stream of that name keeps its progress; the same on every start."""
@@ -124,6 +129,24 @@ def fan_out(
     return stream.writeStream.outputMode("append").foreachBatch(split)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Streams that start within keep state in a few partitions per core, not in as many as batch shuffles.
+
+    Each micro-batch loads, commits and syncs the state of every partition of every operator,
+    however few rows it has. A session that asks for fewer partitions gets these. A stream keeps
+    the number it first started with in its checkpoint.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    enough = max(LEAST_STATE_PARTITIONS, spark.sparkContext.defaultParallelism * STATE_PARTITIONS_PER_CORE)
+    spark.conf.set(name, str(min(int(before), enough)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     """Process what the sources hold now, then stop."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

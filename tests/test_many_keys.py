@@ -12,6 +12,7 @@ from eddyline.operators.windows import window_count
 from eddyline.session import scratch_path
 from eddyline.streaming import flows
 from eddyline.streaming.eventtime import ascending, watermark
+from eddyline.plans.stream_queries import STREAM_QUERIES
 from eddyline.streaming.sinks import append_files, run_available
 from tests.helpers import collected, event_table, random_events, seconds
 from tests.test_streaming import Arrivals, closing
@@ -93,3 +94,20 @@ def test_calls_into_state_go_by_buckets(spark, arrivals, legacy):
     operators = query.recentProgress[-1].stateOperators
     python = [state for state in operators if "transformWithState" in state.operatorName]
     assert len(python) == 1 and 0 < int(python[0].numRowsUpdated) <= 2 * flows.KEY_BUCKETS
+
+
+def test_state_partitions_follow_the_cores_and_not_batch_shuffles(spark, data, tmp_path, monkeypatch):
+    """Every micro-batch syncs every state partition, so 200 of them take most of a short stream's time."""
+    monkeypatch.setattr("eddyline.plans.stream_queries.scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "200")
+    try:
+        assert STREAM_QUERIES["stream_order_lifecycle"](spark, data).count() > 0
+        assert spark.conf.get(name) == "200"
+    finally:
+        spark.conf.set(name, before)
+    operators = list((tmp_path / "stream_order_lifecycle/checkpoint/state").glob("[0-9]*"))
+    assert len(operators) == 2
+    for operator in operators:
+        assert len([part for part in operator.iterdir() if part.name.isdigit()]) == 24
