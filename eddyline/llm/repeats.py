@@ -39,8 +39,9 @@ from eddyline.session import scratch_path
 LENGTH = 200
 GRAM = 32
 
-#: Anchors up to which a bucket is merged in one task.
-MOST_ANCHORS = 256
+#: Anchors up to which a bucket is merged in one task: at most 1.5 MB of text and 700,000 suffixes.
+#: Beyond, every suffix of a piece becomes a row that is shuffled, which costs many times as much.
+MOST_ANCHORS = 4096
 
 #: Symbols of a suffix that are compared one after the other.
 SYMBOLS = 8
