@@ -27,6 +27,7 @@ from __future__ import annotations
 import json
 import sys
 from collections.abc import Callable, Iterator
+from json.encoder import encode_basestring_ascii
 from typing import NamedTuple
 
 import numpy as np
@@ -143,11 +144,32 @@ class Sequence:
 
 
 def _loaded(text: str) -> list[Row]:
-    return [Row(*values) for values in json.loads(text)]
+    return [Row(*values) for values in json.loads(text)] if text != "[]" else []
+
+
+def _quoted(text: str | None) -> str:
+    return "null" if text is None else encode_basestring_ascii(text)
+
+
+def _row_text(row: Row) -> str:
+    """A row as `json.dumps` writes it, in a fraction of the time."""
+    return f"[{row.t}, {row.seq}, {row.kind}, {_quoted(row.payload)}]"
+
+
+def _rows_text(rows: list[Row]) -> str:
+    return f"[{', '.join(map(_row_text, rows))}]"
+
+
+def _outcome_text(one: Outcome) -> str:
+    first, second = (
+        f"{row.t}, {name}: {_quoted(row.payload)}" if row else f"null, {name}: null"
+        for row, name in ((one.first, '"first"'), (one.second, '"second"'))
+    )
+    return f'{{"tag": {_quoted(one.tag)}, "first_t": {first}, "second_t": {second}}}'
 
 
 def _packed(outcomes: list[Outcome]) -> str:
-    return json.dumps([dict(zip(OUTPUT_NAMES, _flat(one), strict=True)) for one in outcomes]) if outcomes else ""
+    return f"[{', '.join(map(_outcome_text, outcomes))}]" if outcomes else ""
 
 
 def _flat(one: Outcome) -> tuple:
@@ -163,9 +185,9 @@ SUMMARY_NAMES = ["entry", "always", "kept", "cleared", "held_kept", "held_cleare
 def _summary_texts(summary: Summary) -> tuple:
     """A summary as columns of text."""
     return (
-        json.dumps(summary.entry) if summary.entry else None, _packed(summary.always),
+        _row_text(summary.entry) if summary.entry else None, _packed(summary.always),
         _packed(summary.found[True]), _packed(summary.found[False]),
-        json.dumps(summary.held[True]), json.dumps(summary.held[False]),
+        _rows_text(summary.held[True]), _rows_text(summary.held[False]),
     )
 
 
@@ -314,8 +336,10 @@ class Slices(StatefulProcessor):
 
 def _past_slice(sequence: Sequence, held: list[Row], summary) -> tuple[list[Row], list[str]]:
     """What is held after a slice, and the packed outcomes up to its end."""
-    way, beside, found = sequence.enter(held, Row(*json.loads(summary.entry)) if summary.entry else None)
-    left = _loaded(summary.held_kept if way else summary.held_cleared)
+    entry = Row(*json.loads(summary.entry)) if summary.entry else None
+    way, beside, found = sequence.enter(held, entry)
+    rest = summary.held_kept if way else summary.held_cleared
+    left = [entry] if entry and rest == f"[{summary.entry}]" else _loaded(rest)
     return beside + left, [_packed(found), summary.always, summary.kept if way else summary.cleared]
 
 
@@ -382,10 +406,16 @@ def summaries(sequence: Sequence) -> Callable[[Iterator[pa.RecordBatch]], Iterat
 
     def summarised(batches):
         for batch in batches:
-            texts = []
-            for rows in batch.column("rows").to_pylist():
-                ordered = sorted([Row(**row) for row in rows], key=sequence.order)
+            gathered = batch.column("rows")
+            parts = dict(zip([field.name for field in gathered.type.value_type], gathered.flatten().flatten(), strict=True))
+            rows = list(map(Row, *[parts[name].to_pylist() for name in Row._fields]))
+            texts, start = [], 0
+            for size in gathered.value_lengths().to_pylist():
+                ordered = rows[start:start + size]
+                if size > 1:
+                    ordered.sort(key=sequence.order)
                 texts.append(_summary_texts(sequence.summarise(ordered)))
+                start += size
             if texts:
                 columns = [pa.array(column, pa.string()) for column in zip(*texts, strict=True)]
                 yield pa.RecordBatch.from_arrays([*map(batch.column, names), *columns], [*names, *SUMMARY_NAMES])
@@ -393,6 +423,25 @@ def summaries(sequence: Sequence) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     return summarised
 
 
+class FinishedSlice(NamedTuple):
+    """A slice of a key as `summaries` hands it on."""
+
+    key: str
+    slice: int
+    entry: str | None
+    always: str | None
+    kept: str | None
+    cleared: str | None
+    held_kept: str | None
+    held_cleared: str | None
+
+
+class RowsOfSlice(NamedTuple):
+    key: str
+    slice: int
+    rows: str
+
+
 class Buckets(StatefulProcessor):
     """The outcomes of a bucket of keys from their finished slices, as JSON arrays of outcomes.
 
@@ -405,6 +454,7 @@ class Buckets(StatefulProcessor):
         self.sequence = sequence
         self.span = span
         self.past = self._past_summary if summarised else self._past_rows
+        self.slices = FinishedSlice if summarised else RowsOfSlice
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -459,8 +509,10 @@ class Buckets(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         holding, alarm = self._known()
-        slices = [one for frame in rows for one in frame.itertuples(index=False)]
-        found = []
+        slices: list[NamedTuple] = []
+        found: list[tuple[str, str]] = []
+        for frame in rows:
+            slices += map(self.slices, *[frame[name].tolist() for name in self.slices._fields])
         for one in sorted(slices, key=lambda one: one.slice):
             holding[one.key], texts = self.past(holding.get(one.key, []), one)
             found += [(one.key, text) for text in texts if text]

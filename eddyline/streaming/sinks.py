@@ -15,7 +15,7 @@ from eddyline.session import shared_folder
 BatchFunction = Callable[[DataFrame, int], None]
 
 #: State partitions of a new stream per core of the cluster, and at least.
-STATE_PARTITIONS_PER_CORE = 3
+STATE_PARTITIONS_PER_CORE = 2
 LEAST_STATE_PARTITIONS = 24
 
 

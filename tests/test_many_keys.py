@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from eddyline.session import scratch_path
 from eddyline.streaming import flows
 from eddyline.streaming.eventtime import ascending, watermark
 from eddyline.plans.stream_queries import STREAM_QUERIES
-from eddyline.streaming.sinks import append_files, run_available
+from eddyline.streaming.sinks import append_files, run_available, state_partitions
 from tests.helpers import collected, event_table, random_events, seconds
 from tests.test_streaming import Arrivals, closing
 
@@ -111,3 +112,15 @@ def test_state_partitions_follow_the_cores_and_not_batch_shuffles(spark, data, t
     assert len(operators) == 2
     for operator in operators:
         assert len([part for part in operator.iterdir() if part.name.isdigit()]) == 24
+
+
+def test_a_dozen_cores_share_two_dozen_state_partitions():
+    """Three a core were loaded, committed and synced by every micro-batch."""
+    class Conf(dict):
+        set = dict.__setitem__
+
+    conf = Conf({"spark.sql.shuffle.partitions": "200"})
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(defaultParallelism=12))
+    with state_partitions(session):
+        assert conf["spark.sql.shuffle.partitions"] == "24"
+    assert conf["spark.sql.shuffle.partitions"] == "200"
