@@ -20,6 +20,7 @@ Null texts are empty and have the end id alone. An empty table has no parts.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -44,11 +45,38 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _OFFSET = np.dtype("<u8")
 
 
+#: A chunk of letters up to U+00FF, then maybe ASCII punctuation: two pre-tokens at most, whatever follows.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level files write each byte, for `str.translate` of Latin-1 text."""
+    same = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [byte for byte in range(256) if byte not in same]
+    return {**{byte: chr(byte) for byte in same}, **{byte: chr(256 + place) for place, byte in enumerate(other)}}
+
+
+class Remembered(dict):
+    """What `work` gives for each key it was asked for; starts anew beyond `most` keys."""
+
+    def __init__(self, work, most: int):
+        super().__init__()
+        self.work, self.most = work, most
+
+    def __missing__(self, key):
+        value = self.work(key)
+        if len(self) > self.most:
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """A file of the tokenizers library, with the ids of known chunks of text remembered.
 
     Where words never reach across white space and white space has no ids, a text is encoded
-    chunk by chunk; files of other kinds are given whole texts.
+    chunk by chunk; files of other kinds are given whole texts. Words of plain letters go to the
+    library's model past its normalizer and pre-tokenizer, which take longer than the model.
     """
 
     def __init__(self, path: str):
@@ -57,7 +85,8 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.library.get_vocab_size()
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         steps = (described.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
@@ -67,51 +96,42 @@ class Encoder:
             and first["behavior"] == "Removed" and first["invert"]
             and not any(token["lstrip"] or token["rstrip"] or " " in token["content"] for token in described["added_tokens"])
         )
+        normalizers = (described.get("normalizer") or {}).get("normalizers", [])
+        self.plain = (
+            [step.get("type") for step in steps[1:]] == ["ByteLevel"] and not steps[1]["add_prefix_space"]
+            and [step["type"] for step in normalizers] == ["NFC", "Replace", "Lowercase"]
+            and normalizers[1]["pattern"] == {"Regex": r"\s+"} and normalizers[1]["content"] == " "
+            and all("<|" in token["content"] for token in described["added_tokens"])
+        )
         self.model = self.library.model
-        self._chunks: dict[bytes, bytes] = {}
-        self._words: dict[bytes, bytes] = {}
+        self._bytes = [np.array([number], self.kind).tobytes() for number in range(size)]
+        self._byte_letters = _byte_letters()
+        self._chunks = Remembered(self._chunk, REMEMBERED)
+        self._words = Remembered(self._word, REMEMBERED_WORDS)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _word(self, word: bytes) -> bytes:
-        ids = self._words.get(word)
-        if ids is None:
-            if len(self._words) > REMEMBERED_WORDS:
-                self._words.clear()
-            if word.isalpha() and word.islower() and word.isascii():
-                # Neither normalizer nor pre-tokenizer changes or cuts such a word.
-                ids = np.array([token.id for token in self.model.tokenize(word.decode())], self.kind).tobytes()
-            else:
-                ids = self._library(word.decode())
-            self._words[word] = ids
-        return ids
+        if self.plain and (match := _PLAIN.fullmatch(word)) and not match[2]:
+            # Composed letters, one pre-token; in lower case and by bytes as the model has them.
+            letters = word.decode().lower()
+            if not letters.isascii():
+                letters = letters.encode().decode("latin-1").translate(self._byte_letters)
+            return b"".join([self._bytes[token.id] for token in self.model.tokenize(letters)])
+        return self._library(word.decode())
 
     def _chunk(self, chunk: bytes) -> bytes:
-        if b"<|" in chunk or not chunk.isascii():
-            return self._word(chunk)
-        lower = chunk.lower()
-        if len(lower) > 1 and lower[-2:-1].isalpha() and not lower[-1:].isalnum():
-            return self._word(lower[:-1]) + self._word(lower[-1:])
-        return self._word(lower)
+        if self.plain and (match := _PLAIN.fullmatch(chunk)) and b"<|" not in chunk:
+            letters, rest = match.groups()
+            ids = self._words[letters.lower()]
+            return ids + self._words[rest] if rest else ids
+        return self._words[chunk]
 
     def encode(self, text: str) -> bytes:
         if not self.chunked:
             return self._library(text)
-        known = self._chunks
-        if len(known) > REMEMBERED:
-            known.clear()
-        chunks = text.encode().split()
-        parts = list(map(known.get, chunks))
-        if None in parts:
-            for place, part in enumerate(parts):
-                if part is None:
-                    chunk = chunks[place]
-                    part = known.get(chunk)
-                    if part is None:
-                        part = known[chunk] = self._chunk(chunk)
-                    parts[place] = part
-        return b"".join(parts)
+        return b"".join(map(self._chunks.__getitem__, text.encode().split()))
 
 
 @lru_cache(maxsize=2)
