@@ -13,9 +13,10 @@ A byte goes if a string of `length` bytes that also starts anywhere else covers
   that stand alone are settled at once, so no suffix is sorted anew. The round in which two rows
   part is their common prefix in symbols; blocks that remain after eight rounds are the repeated
   intervals.
-* A bucket with more than `most_anchors` anchors is refined without bringing its rows together:
-  equal pieces are counted by digest, and the suffixes of different pieces likewise. Counts are
-  combined before the shuffle and joined back, so that no task holds a hot bucket.
+* Pieces that are equal as wholes are counted by digest, in all buckets. A bucket with more than
+  `most_anchors` anchors is refined without bringing its rows together: the suffixes of its
+  different pieces are counted likewise. Counts are combined before the shuffle and joined back,
+  so that no task holds a hot bucket.
 
 Rows with equal texts are counted first; all bytes of such a text go, if it is long enough.
 Null texts are empty, and nothing goes from texts shorter than `length`.
@@ -146,8 +147,8 @@ _PIECES = "key long, h long, g long, at long, back int, fore int, weight int, ho
 def _cutter(length: int):
     """Function for mapInArrow that cuts the pieces of text around repeated anchors.
 
-    Pieces of hot buckets carry the digests of their suffixes, 16 bytes each, in place of text,
-    and only the first time that the task meets a piece.
+    A piece has its text only the first time that the task meets it; equal ones are found by
+    digest. Pieces of hot buckets carry the digests of their suffixes, 16 bytes each, instead.
     """
     schema = arrow_schema(_PIECES)
 
@@ -164,14 +165,13 @@ def _cutter(length: int):
                 for mark in marks:
                     at, back, fore = mark["place"] >> 16, mark["place"] >> 8 & 255, mark["place"] & 255
                     piece = text[at - back:at - fore + length]
-                    digest = None
-                    if mark["hot"]:
-                        digest = hashlib.blake2b(piece, digest_size=16, salt=bytes([back, fore])).digest()
-                        if digest in told:
-                            piece = None
-                        else:
-                            if len(told) < 1 << 20:
-                                told.add(digest)
+                    digest = hashlib.blake2b(piece, digest_size=16, salt=bytes([back, fore])).digest()
+                    if digest in told:
+                        piece = None
+                    else:
+                        if len(told) < 1 << 20:
+                            told.add(digest)
+                        if mark["hot"]:
                             if hashes is None:
                                 data = np.frombuffer(text, np.uint8)
                                 hashes = Hashes(data), Hashes(data, _OTHER, _OTHER_INVERSE)
@@ -308,14 +308,17 @@ def _repeated(salted: DataFrame, keys: list[str], count: Column) -> DataFrame:
     return counted.select(*keys, "times", F.explode(present).alias("salt"))
 
 
-def _hot_ranges(hot: DataFrame) -> DataFrame:
-    """Ranges of repeated suffixes in hot buckets, by counts that are joined back."""
-    hot = _salted(hot, "h", "g", "at")
-    equal = _repeated(hot, ["digest"], F.sum("weight")).select("digest", "salt")
-    whole = hot.join(equal, ["digest", "salt"], "left_semi").select(
-        "h", "g", (F.col("at") - F.col("back")).alias("first"), (F.col("at") - F.col("fore")).alias("last"),
+def _equal_ranges(salted: DataFrame, equal: DataFrame) -> DataFrame:
+    """All suffixes of the pieces that are repeated as wholes, one range a piece."""
+    return salted.join(equal, ["digest", "salt"], "left_semi").select(
+        "h", "g", (F.col("at") - F.col("back")).cast("long").alias("first"),
+        (F.col("at") - F.col("fore")).cast("long").alias("last"),
     )
 
+
+def _hot_ranges(hot: DataFrame, equal: DataFrame) -> DataFrame:
+    """Ranges of repeated suffixes of hot buckets' other pieces, by counts that are joined back."""
+
     def suffixes(pieces: DataFrame) -> DataFrame:
         told = pieces.filter("piece IS NOT NULL").select("h", "g", "at", "back", "fore", "weight", "piece")
         rows = map_batches(told, "a long, b long, h long, g long, place long, weight int", _suffixes)
@@ -324,10 +327,9 @@ def _hot_ranges(hot: DataFrame) -> DataFrame:
     # Every piece counts; only pieces that are not repeated as wholes ask for their suffixes.
     twice = _repeated(suffixes(hot), ["a", "b"], F.sum("weight")).select("a", "b", "salt")
     alone = hot.join(equal, ["digest", "salt"], "left_anti")
-    single = suffixes(alone).join(twice, ["a", "b", "salt"], "left_semi").select(
+    return suffixes(alone).join(twice, ["a", "b", "salt"], "left_semi").select(
         "h", "g", F.col("place").alias("first"), F.col("place").alias("last"),
     )
-    return whole.unionByName(single)
 
 
 def _spans(batch: pa.RecordBatch, length: int) -> Iterator[list]:
@@ -384,15 +386,21 @@ def repeated_spans(
     marked = long.select("h", "g", "copies", "packed").join(marks, list(TEXT_KEYS))
     marked.select("h", "g", "copies", "marks", "packed").mapInArrow(_cutter(length), _PIECES).write.parquet(f"{folder}/pieces")
     pieces = spark.read.schema(_PIECES).parquet(f"{folder}/pieces")
+    salted = _salted(pieces, "h", "g", "at")
+    equal = _repeated(salted, ["digest"], F.sum("weight")).select("digest", "salt")
+    # Equal pieces are settled by their digest; a bucket has each piece once for every task that met it.
     bucketed = (
-        pieces.filter("NOT hot").select("key", "h", "g", "at", "back", "fore", "weight", F.col("piece"))
+        pieces.filter("NOT hot AND piece IS NOT NULL").select("key", "h", "g", "at", "back", "fore", "weight", F.col("piece"))
         .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key")
     )
     merged = bucketed.mapInArrow(_merger(length), _RANGES)
     whole = long.filter("copies > 1").select(
         "h", "g", F.lit(0).cast("long").alias("first"), (F.col("size") - length).cast("long").alias("last"),
     )
-    ranges = merged.unionByName(_hot_ranges(pieces.filter("hot"))).unionByName(whole)
+    ranges = (
+        merged.unionByName(_equal_ranges(salted, equal)).unionByName(_hot_ranges(salted.filter("hot"), equal))
+        .unionByName(whole)
+    )
     gathered = ranges.groupBy(*TEXT_KEYS).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
     return map_batches(gathered, f"h long, g long, spans {SPANS}", _spans, length)
 

@@ -53,3 +53,16 @@ def test_merged_and_counted_buckets_agree(spark, tmp_path):
         spans = repeats.repeated_spans(distinct, f"{tmp_path}/{most}", most_anchors=most).collect()
         found.append({(row.h, row.g): row.spans for row in spans})
     assert len(found[0]) == 60 and found[0] == found[1]
+
+
+def test_equal_pieces_of_ordinary_buckets_are_settled_by_digest(spark, tmp_path, monkeypatch):
+    """Copies of a passage used to be compared by their text unless the bucket was a large one."""
+    texts = _texts(2)
+    texts = [f"{texts[0]}{number:05d}" for number in range(40)] + [texts[1]]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(repeats, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    rows = repeats.repeat_digests(documents).collect()
+    assert {row.doc_id: (row.n_removed, row.kept_sha256) for row in rows} == _brute_force(texts, 200)
+    pieces = spark.read.parquet(f"{tmp_path}/repeats/pieces")
+    assert pieces.filter("hot").count() == 0
+    assert pieces.filter("piece IS NULL").count() > pieces.count() / 2
