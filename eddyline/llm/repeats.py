@@ -13,10 +13,13 @@ A byte goes if a string of `length` bytes that also starts anywhere else covers
   that stand alone are settled at once, so no suffix is sorted anew. The round in which two rows
   part is their common prefix in symbols; blocks that remain after eight rounds are the repeated
   intervals.
-* Pieces that are equal as wholes are counted by digest, in all buckets. A bucket with more than
-  `most_anchors` anchors is refined without bringing its rows together: the suffixes of its
-  different pieces are counted likewise. Counts are combined before the shuffle and joined back,
-  so that no task holds a hot bucket.
+* Pieces that are equal as wholes are counted by digest, in all buckets; those that one text has
+  several times travel once. Counts are combined before the shuffle and joined back, so that no
+  task holds a hot bucket.
+* A bucket with more than `most_anchors` anchors is refined without bringing its rows together. Its
+  pieces are cut into parts, each of some neighbouring distances from the anchor. The suffixes of a
+  part have a core in common: if it comes once, none of them is repeated. If the whole part comes
+  twice, all are. Only the suffixes of other parts become rows, which are counted likewise.
 
 Rows with equal texts are counted first; all bytes of such a text go, if it is long enough.
 Null texts are empty, and nothing goes from texts shorter than `length`.
@@ -25,10 +28,12 @@ Null texts are empty, and nothing goes from texts shorter than `length`.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +46,7 @@ LENGTH = 200
 GRAM = 32
 
 #: Anchors up to which a bucket is merged in one task: at most 1.5 MB of text and 700,000 suffixes.
-#: Beyond, every suffix of a piece becomes a row that is shuffled, which costs many times as much.
+#: Beyond, parts of a piece become rows that are shuffled, which costs more.
 MOST_ANCHORS = 4096
 
 #: Symbols of a suffix that are compared one after the other.
@@ -141,14 +146,29 @@ def _with_texts(frame: DataFrame) -> DataFrame:
     return map_batches(frame, f"{kinds}, packed binary", _compressed)
 
 
-_PIECES = "key long, h long, g long, at long, back int, fore int, weight int, hot boolean, digest binary, piece binary"
+_PIECES = (
+    "key long, h long, g long, at long, back int, fore int, weight int, hot boolean, digest binary, piece binary, "
+    "ranges array<struct<first: long, last: long>>"
+)
+
+
+def _joined(ranges: list[tuple[int, int]]) -> list[dict[str, int]]:
+    """Ranges in ascending order, those that follow each other as one."""
+    joined: list[dict[str, int]] = []
+    for first, last in ranges:
+        if joined and first == joined[-1]["last"] + 1:
+            joined[-1]["last"] = last
+        else:
+            joined.append({"first": first, "last": last})
+    return joined
 
 
 def _cutter(length: int):
     """Function for mapInArrow that cuts the pieces of text around repeated anchors.
 
-    A piece has its text only the first time that the task meets it; equal ones are found by
-    digest. Pieces of hot buckets carry the digests of their suffixes, 16 bytes each, instead.
+    Equal pieces of one text are one row, at the first place, with the `ranges` of all: they are
+    repeated. A piece has its text only the first time that the task meets it; equal ones are
+    found by digest.
     """
     schema = arrow_schema(_PIECES)
 
@@ -161,24 +181,28 @@ def _cutter(length: int):
                 *[batch.column(name).to_pylist() for name in ("h", "g", "copies", "marks", "packed")], strict=True,
             ):
                 text = unpack(packed)
-                hashes = None
-                for mark in marks:
+                met: dict[bytes, list] = {}
+                for mark in sorted(marks, key=lambda mark: mark["place"]):
                     at, back, fore = mark["place"] >> 16, mark["place"] >> 8 & 255, mark["place"] & 255
                     piece = text[at - back:at - fore + length]
                     digest = hashlib.blake2b(piece, digest_size=16, salt=bytes([back, fore])).digest()
+                    if digest in met:
+                        met[digest][-1].append((at - back, at - fore))
+                    else:
+                        met[digest] = [mark, at, back, fore, piece, [(at - back, at - fore)]]
+                for digest, (mark, at, back, fore, piece, ranges) in met.items():
                     if digest in told:
                         piece = None
-                    else:
-                        if len(told) < 1 << 20:
-                            told.add(digest)
-                        if mark["hot"]:
-                            if hashes is None:
-                                data = np.frombuffer(text, np.uint8)
-                                hashes = Hashes(data), Hashes(data, _OTHER, _OTHER_INVERSE)
-                            starts = np.arange(at - back, at - fore + 1)
-                            piece = np.stack([one.of(starts, length) for one in hashes], axis=1).tobytes()
+                    elif len(told) < 1 << 20:
+                        told.add(digest)
+                    several = len(ranges) > 1
                     for column, value in zip(
-                        out, (mark["key"], h, g, at, back, fore, 2 if copies > 1 else 1, mark["hot"], digest, piece), strict=True,
+                        out,
+                        (
+                            mark["key"], h, g, at, back, fore, 2 if several or copies > 1 else 1, mark["hot"], digest, piece,
+                            _joined(ranges) if several else None,
+                        ),
+                        strict=True,
                     ):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -279,15 +303,44 @@ def _merger(length: int):
     return merge
 
 
-def _suffixes(batch: pa.RecordBatch) -> Iterator[list]:
-    """One row for every suffix of the pieces of hot buckets."""
-    told = batch.filter(batch.column("piece").is_valid())
-    starts = told.column("at").to_numpy() - told.column("back").to_numpy()
-    counts = (told.column("back").to_numpy() - told.column("fore").to_numpy() + 1).astype(np.int64)
+_PARTS = "h long, g long, at long, back int, low int, high int, weight int, a long, b long, c long, d long"
+
+
+def _parts(batch: pa.RecordBatch, length: int, width: int) -> Iterator[list]:
+    """The parts of pieces: distances `low` to `high`, digests a, b of the core and c, d of the whole.
+
+    Cores are those of aligned parts of `width` distances, also where the piece has fewer.
+    """
+    data, offsets = text_bytes(batch.column("piece"))
+    back, fore = (batch.column(name).to_numpy().astype(np.int64) for name in ("back", "fore"))
+    counts = back // width - fore // width + 1
     owners = np.repeat(np.arange(len(counts)), counts)
-    values = np.frombuffer(b"".join(told.column("piece").to_pylist()), np.int64).reshape(-1, 2)
-    h, g, weight = (told.column(name).to_numpy()[owners] for name in ("h", "g", "weight"))
-    yield [values[:, 0], values[:, 1], h, g, spread(starts, counts), weight]
+    part = spread(fore // width, counts)
+    low, high = np.maximum(part * width, fore[owners]), np.minimum(part * width + width - 1, back[owners])
+    anchor = (offsets[:-1] + back)[owners]
+    hashes = Hashes(data), Hashes(data, _OTHER, _OTHER_INVERSE)
+    a, b = (one.of(anchor - part * width, length - width + 1) ^ mixed(part.astype(np.uint64) + np.uint64(1)) for one in hashes)
+    c, d = (
+        one.of(anchor - high, high - low + length) ^ mixed(edge.astype(np.uint64) + np.uint64(1))
+        for one, edge in zip(hashes, (low, high), strict=True)
+    )
+    h, g, at, weight = (batch.column(name).to_numpy()[owners] for name in ("h", "g", "at", "weight"))
+    yield [h, g, at, back[owners], low, high, weight, *[one.view(np.int64) for one in (a, b, c, d)]]
+
+
+def _suffixes(batch: pa.RecordBatch, length: int) -> Iterator[list]:
+    """One row for every suffix of the parts that are `asked` of some pieces."""
+    data, offsets = text_bytes(batch.column("piece"))
+    asked = batch.column("asked")
+    owners = np.repeat(np.arange(batch.num_rows), pc.list_value_length(asked).to_numpy())
+    low, high, weight = (pc.struct_field(asked.flatten(), name).to_numpy() for name in ("low", "high", "weight"))
+    counts = (high - low + 1).astype(np.int64)
+    owners, weight = np.repeat(owners, counts), np.repeat(weight, counts)
+    distances = spread(low.astype(np.int64), counts)
+    starts = offsets[:-1][owners] + batch.column("back").to_numpy()[owners] - distances
+    a, b = (one.of(starts, length).view(np.int64) for one in (Hashes(data), Hashes(data, _OTHER, _OTHER_INVERSE)))
+    h, g, at = (batch.column(name).to_numpy()[owners] for name in ("h", "g", "at"))
+    yield [a, b, h, g, at - distances, weight]
 
 
 def _salted(frame: DataFrame, *columns: str) -> DataFrame:
@@ -308,27 +361,51 @@ def _repeated(salted: DataFrame, keys: list[str], count: Column) -> DataFrame:
     return counted.select(*keys, "times", F.explode(present).alias("salt"))
 
 
-def _equal_ranges(salted: DataFrame, equal: DataFrame) -> DataFrame:
-    """All suffixes of the pieces that are repeated as wholes, one range a piece."""
-    return salted.join(equal, ["digest", "salt"], "left_semi").select(
-        "h", "g", (F.col("at") - F.col("back")).cast("long").alias("first"),
-        (F.col("at") - F.col("fore")).cast("long").alias("last"),
-    )
+def _range(first: Column, last: Column) -> Column:
+    return F.array(F.struct(first.cast("long").alias("first"), last.cast("long").alias("last"))).alias("ranges")
 
 
-def _hot_ranges(hot: DataFrame, equal: DataFrame) -> DataFrame:
-    """Ranges of repeated suffixes of hot buckets' other pieces, by counts that are joined back."""
+def _equal_ranges(salted: DataFrame) -> DataFrame:
+    """All suffixes of the pieces that are repeated as wholes."""
+    equal = _repeated(salted, ["digest"], F.sum("weight")).select("digest", "salt")
+    # Pieces that their text has several times need no count, nor do those of texts with copies, which go as wholes.
+    asking = salted.filter("weight = 1").join(equal, ["digest", "salt"], "left_semi")
+    return salted.filter("ranges IS NOT NULL").select("h", "g", "ranges").unionByName(
+        asking.select("h", "g", _range(F.col("at") - F.col("back"), F.col("at") - F.col("fore"))),
+    )
 
-    def suffixes(pieces: DataFrame) -> DataFrame:
-        told = pieces.filter("piece IS NOT NULL").select("h", "g", "at", "back", "fore", "weight", "piece")
-        rows = map_batches(told, "a long, b long, h long, g long, place long, weight int", _suffixes)
-        return _salted(rows, "h", "g", "place")
 
-    # Every piece counts; only pieces that are not repeated as wholes ask for their suffixes.
-    twice = _repeated(suffixes(hot), ["a", "b"], F.sum("weight")).select("a", "b", "salt")
-    alone = hot.join(equal, ["digest", "salt"], "left_anti")
-    return suffixes(alone).join(twice, ["a", "b", "salt"], "left_semi").select(
-        "h", "g", F.col("place").alias("first"), F.col("place").alias("last"),
+def _hot_ranges(hot: DataFrame, folder: str, length: int, gram: int) -> DataFrame:
+    """Ranges of repeated suffixes of hot buckets' pieces, by counts that are joined back."""
+    piece = ["h", "g", "at", "back"]
+    told = hot.filter("piece IS NOT NULL")
+    cut = map_batches(
+        told.select(*piece, "fore", "weight", "piece"), _PARTS, _parts, length, math.isqrt(length - gram + 1),
+    )
+    salted = _salted(cut, *piece, "low")
+    cores = _repeated(salted, ["a", "b"], F.sum("weight")).select("a", "b", "salt")
+    # Parts whose core comes once have no repeated suffix.
+    salted.join(cores, ["a", "b", "salt"], "left_semi").drop("a", "b").write.parquet(f"{folder}/parts")
+    parts = hot.sparkSession.read.parquet(f"{folder}/parts")
+    wholes = _repeated(parts, ["c", "d"], F.sum("weight")).select("c", "d", "salt")
+    equal = parts.join(wholes, ["c", "d", "salt"], "left_semi")
+
+    # Equal parts count as one, which asks for its suffixes only if it comes once.
+    different = parts.groupBy("c", "d").agg(
+        F.min(F.struct(*piece, "low", "high")).alias("one"), F.least(F.sum("weight"), F.lit(2)).cast("int").alias("weight"),
+    )
+    asked = different.select("one.*", "weight").groupBy(*piece).agg(
+        F.collect_list(F.struct("low", "high", "weight")).alias("asked"),
+    )
+    rows = map_batches(
+        told.select(*piece, "piece").join(asked, piece), "a long, b long, h long, g long, place long, weight int",
+        _suffixes, length,
+    )
+    suffixes = _salted(rows, "h", "g", "place")
+    twice = _repeated(suffixes, ["a", "b"], F.sum("weight")).select("a", "b", "salt")
+    single = suffixes.filter("weight = 1").join(twice, ["a", "b", "salt"], "left_semi")
+    return equal.select("h", "g", _range(F.col("at") - F.col("high"), F.col("at") - F.col("low"))).unionByName(
+        single.select("h", "g", _range(F.col("place"), F.col("place"))),
     )
 
 
@@ -387,21 +464,18 @@ def repeated_spans(
     marked.select("h", "g", "copies", "marks", "packed").mapInArrow(_cutter(length), _PIECES).write.parquet(f"{folder}/pieces")
     pieces = spark.read.schema(_PIECES).parquet(f"{folder}/pieces")
     salted = _salted(pieces, "h", "g", "at")
-    equal = _repeated(salted, ["digest"], F.sum("weight")).select("digest", "salt")
     # Equal pieces are settled by their digest; a bucket has each piece once for every task that met it.
     bucketed = (
         pieces.filter("NOT hot AND piece IS NOT NULL").select("key", "h", "g", "at", "back", "fore", "weight", F.col("piece"))
         .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").sortWithinPartitions("key")
     )
     merged = bucketed.mapInArrow(_merger(length), _RANGES)
-    whole = long.filter("copies > 1").select(
-        "h", "g", F.lit(0).cast("long").alias("first"), (F.col("size") - length).cast("long").alias("last"),
-    )
+    whole = long.filter("copies > 1").select("h", "g", _range(F.lit(0), F.col("size") - length))
     ranges = (
-        merged.unionByName(_equal_ranges(salted, equal)).unionByName(_hot_ranges(salted.filter("hot"), equal))
-        .unionByName(whole)
+        merged.select("h", "g", _range(F.col("first"), F.col("last"))).unionByName(_equal_ranges(salted))
+        .unionByName(_hot_ranges(pieces.filter("hot"), folder, length, gram)).unionByName(whole)
     )
-    gathered = ranges.groupBy(*TEXT_KEYS).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
+    gathered = ranges.groupBy(*TEXT_KEYS).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     return map_batches(gathered, f"h long, g long, spans {SPANS}", _spans, length)
 
 
